@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import once, source_key, table
-from . import tokens
+from . import canon, cutoffs, lines, mixing, tokens
 
 
 def p8_ids(spark, folder):
@@ -19,5 +19,52 @@ def p8_roundtrip(spark, folder):
     return documents.join(back, "doc_id").select("doc_id", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+def p9_mix(spark, folder):
+    return mixing.mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[0]
+
+
+def p9_shares(spark, folder):
+    return mixing.mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
+
+
+def p4_found(spark, folder):
+    return lines.lines_to_remove(table(spark, folder, "pages"), table(spark, folder, "source_documents"))[0]
+
+
+def p4_lines(spark, folder):
+    repeated = lines.lines_to_remove(table(spark, folder, "pages"), table(spark, folder, "source_documents"))[1]
+    return repeated.select("source", F.lower(F.hex("key")).alias("line_md5"), "in_docs", "n_docs", "all_docs", F.round("ratio", 4).alias("ratio"), "significant", "excess")
+
+
+def p4_clean(spark, folder):
+    pages = table(spark, folder, "pages")
+    return lines.without_lines(pages, lines.lines_to_remove(pages, table(spark, folder, "source_documents"))[0])
+
+
+def p6_found(spark, folder):
+    return canon.look_alike_pairs(table(spark, folder, "pages"))
+
+
+def p6_canonical(spark, folder):
+    """Both texts of each page in the consistent form."""
+    pages = once(table(spark, folder, "pages").select("id", "text_content", "normalized_text_content"))
+    raw = canon.canonical(pages, ["id"], "text_content").withColumnRenamed("canonical", "text_content")
+    normalized = canon.canonical(pages, ["id"], "normalized_text_content").withColumnRenamed("canonical", "normalized_text_content")
+    return raw.join(normalized, "id").withColumnRenamed("id", "page_id")
+
+
+def _scores(spark, folder):
+    return cutoffs.page_scores(table(spark, folder, "pages"), table(spark, folder, "source_documents"))
+
+
+def p7_found(spark, folder):
+    scores = _scores(spark, folder)
+    return cutoffs.kept(scores, cutoffs.cutoffs(scores, table(spark, folder, "source_targets"))).select("page_id")
+
+
+def p7_cutoffs(spark, folder):
+    return cutoffs.cutoffs(_scores(spark, folder), table(spark, folder, "source_targets"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares}
 SQL = {"p8_roundtrip": "SELECT doc_id, true AS same FROM documents"}

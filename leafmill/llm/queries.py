@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import once, source_key, table
-from . import canon, cutoffs, lines, mixing, tokens
+from . import canon, cutoffs, language, lines, mixing, spam, tokens
 
 
 def p8_ids(spark, folder):
@@ -27,6 +27,18 @@ def p9_shares(spark, folder):
     return mixing.mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
 
 
+def _languages(spark, folder):
+    return language.identify(*(table(spark, folder, t) for t in ("pages", "document_results", "run_configs")))
+
+
+def p1_found(spark, folder):
+    return language.mislabelled(*_languages(spark, folder))
+
+
+def p1_pages(spark, folder):
+    return language.page_languages(table(spark, folder, "pages"), _languages(spark, folder)[0])
+
+
 def p4_found(spark, folder):
     return lines.lines_to_remove(table(spark, folder, "pages"), table(spark, folder, "source_documents"))[0]
 
@@ -66,5 +78,13 @@ def p7_cutoffs(spark, folder):
     return cutoffs.cutoffs(_scores(spark, folder), table(spark, folder, "source_targets"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares}
+def p10_found(spark, folder):
+    return spam.keyword_spam(table(spark, folder, "documents")).where("spam").select("doc_id")
+
+
+def p10_scores(spark, folder):
+    return spam.keyword_spam(table(spark, folder, "documents"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
 SQL = {"p8_roundtrip": "SELECT doc_id, true AS same FROM documents"}

@@ -9,9 +9,13 @@ character, and further ones only where an n-gram is unknown to every language.
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import lru_cache
 
 import numpy as np
 
+from .canon import tables
+
 #: n-grams of up to so many characters.
 ORDER = 4
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
@@ -19,8 +23,19 @@ _NOT_LETTERS = re.compile(r"[^\W\d_]*\d\w*|[\W\d_]+")
 _LETTERS = re.compile(r"[^\W\d_]")
 
 
+@lru_cache(1)
+def _odd() -> tuple[re.Pattern, dict[int, str]]:
+    table, marks = tables()
+    # characters beyond the first plane would make the class a list; texts that have any are looked up
+    first = "".join(c for c in [*table, *marks] if ord(c) < 0x10000)
+    return re.compile(f"[{re.escape(first)}]|[\U00010000-\U0010FFFF]"), str.maketrans(table)
+
+
 def plain(text: str) -> str:
-    """Words in lower case with one space between; words that hold digits, and all signs, count as space."""
+    """Words in lower case with one space between; words that hold digits, and all signs, count as space. Characters that only look like others count as these."""
+    odd, table = _odd()
+    if odd.search(text):
+        text = unicodedata.normalize("NFC", text.translate(table))
     return " " + _NOT_LETTERS.sub(" ", text.lower()).strip() + " "
 
 

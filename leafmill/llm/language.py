@@ -2,13 +2,15 @@
 
 One character model a language is fitted on a bounded sample of the pages whose
 label names just one language. Labels may be wrong, so the sample's segments
-are relabelled by the models and the models fitted again. Each segment of every
+are judged by the models, and those on which label and models agree are fitted again. Each segment of every
 page then has the language of the lowest cross-entropy per character, with a
 calibrated confidence, or none if no model explains it.
 """
 
 from __future__ import annotations
 
+from itertools import zip_longest
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,12 +23,12 @@ from .charlm import Model, letters, plain
 
 #: Pages a language that the models are fitted on, as expected of a hashed sample; pages that a language must have.
 SAMPLE_PAGES, MIN_PAGES = 400, 10
-#: Rounds of relabelling the sample.
+#: Rounds of judging the sample.
 ROUNDS = 3
 #: Letters from which a segment is a case of its own.
 MIN_LETTERS = 80
-#: Part of the sample that is held out for calibration, characters of its fragments, and what entropies may exceed the greatest usual one by.
-HELD_OUT, FRAGMENT, SLACK = 5, 20, 0.35
+#: Part of the sample that is held out for calibration, and characters of its fragments.
+HELD_OUT, FRAGMENT = 5, 20
 
 
 def tags(column: str) -> Column:
@@ -65,20 +67,29 @@ class Identifier:
     def __init__(self, sample: list[tuple[str, str]]):
         labelled = [(p, language) for language, text in sample for s in segments(text) if len(p := plain(s)) >= MIN_LETTERS]
         held, fitted = labelled[::HELD_OUT], [x for i, x in enumerate(labelled) if i % HELD_OUT]
-        languages = sorted({x for _, x in fitted})
-        labels = np.array([languages.index(x) for _, x in fitted])
-        texts = [t for t, _ in fitted]
-        for _ in range(ROUNDS + 1):
-            present = [k for k in range(len(languages)) if (labels == k).any()]
-            model = Model([languages[k] for k in present], {languages[k]: [t for t, x in zip(texts, labels, strict=True) if x == k] for k in present})
-            labels = np.array(present)[model.entropies(texts)[0].argmin(1)]
-        self.model = model
+        # each half is judged by models of the other; what they agree on is fitted in the next round
+        kept = fitted
+        for _ in range(ROUNDS):
+            halves = [kept[0::2], kept[1::2]]
+            models = [self._model(h) for h in reversed(halves)]
+            judged = []
+            for half, model in zip([fitted[0::2], fitted[1::2]], models, strict=True):
+                best = model.entropies([t for t, _ in half])[0].argmin(1)
+                judged.append([x for x, k in zip(half, best, strict=True) if model.languages[k] == x[1]])
+            kept = [x for pair in zip_longest(*judged) for x in pair if x]
+        self.model = model = self._model(kept or fitted)
         self.threshold, self.sharpness = np.inf, 0.3
         if held:
             e, _ = model.entropies([t for t, _ in held])
-            self.threshold = float(np.quantile(e.min(1), 0.99)) + SLACK
+            # halfway from what the right language usually gives to what a wrong one gives
+            self.threshold = float(np.quantile(e.min(1), 0.5) + np.quantile(np.sort(e, 1)[:, -1 if e.shape[1] < 2 else 1], 0.5)) / 2
             self._calibrate([t for t, _ in held], e.argmin(1))
 
+    @staticmethod
+    def _model(labelled: list[tuple[str, str]]) -> Model:
+        languages = sorted({x for _, x in labelled})
+        return Model(languages, {language: [t for t, x in labelled if x == language] for language in languages})
+
     def _calibrate(self, texts: list[str], truth: np.ndarray) -> None:
         """How far likelihoods count: characters aren't independent. Fitted on short fragments, where errors occur, against what the whole segment is."""
         pieces = [(t[i : i + FRAGMENT], k) for t, k in zip(texts, truth, strict=True) for i in range(0, min(len(t), 400) - FRAGMENT, FRAGMENT)]

@@ -81,8 +81,8 @@ class Identifier:
         self.threshold, self.sharpness = np.inf, 0.3
         if held:
             e, _ = model.entropies([t for t, _ in held])
-            # halfway from what the right language usually gives to what a wrong one gives
-            self.threshold = float(np.quantile(e.min(1), 0.5) + np.quantile(np.sort(e, 1)[:, -1 if e.shape[1] < 2 else 1], 0.5)) / 2
+            # beyond what wrong languages usually give, none explains the text
+            self.threshold = float(np.quantile(np.sort(e, 1)[:, min(1, e.shape[1] - 1) :], 0.25))
             self._calibrate([t for t, _ in held], e.argmin(1))
 
     @staticmethod

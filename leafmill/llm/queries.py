@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import once, source_key, table
-from . import canon, cutoffs, language, lines, mixing, spam, tokens
+from . import canon, cutoffs, language, lines, mixing, neighbours, pieces, spam, tokens
 
 
 def p8_ids(spark, folder):
@@ -39,6 +39,14 @@ def p1_pages(spark, folder):
     return language.page_languages(table(spark, folder, "pages"), _languages(spark, folder)[0])
 
 
+def p2_found(spark, folder):
+    return neighbours.mutual_pairs(neighbours.nearest(table(spark, folder, "page_embeddings")))
+
+
+def p2_neighbours(spark, folder):
+    return neighbours.nearest(table(spark, folder, "page_embeddings"))
+
+
 def p4_found(spark, folder):
     return lines.lines_to_remove(table(spark, folder, "pages"), table(spark, folder, "source_documents"))[0]
 
@@ -53,6 +61,19 @@ def p4_clean(spark, folder):
     return lines.without_lines(pages, lines.lines_to_remove(pages, table(spark, folder, "source_documents"))[0])
 
 
+def p5_found(spark, folder):
+    return pieces.found(table(spark, folder, "pages"))
+
+
+def p5_pieces(spark, folder):
+    texts = once(pieces.page_texts(table(spark, folder, "pages")))
+    return pieces.split_texts(texts).withColumnRenamed("item", "page_id")
+
+
+def p5_counts(spark, folder):
+    return pieces.counts_by_document(table(spark, folder, "pages"), table(spark, folder, "document_results"))
+
+
 def p6_found(spark, folder):
     return canon.look_alike_pairs(table(spark, folder, "pages"))
 
@@ -86,5 +107,5 @@ def p10_scores(spark, folder):
     return spam.keyword_spam(table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
+QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_counts": p5_counts, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
 SQL = {"p8_roundtrip": "SELECT doc_id, true AS same FROM documents"}

@@ -27,6 +27,8 @@ FIT_ROWS = 20_000
 PROBES, RERANK = 12, 24
 #: Vectors of a list, about, and at most in a block of it; centroids at most.
 LIST_ROWS, BLOCK_ROWS, MAX_LISTS = 400, 4096, 16_384
+#: Queries of a visited list that meet a block at a time, at most about.
+QUERY_ROWS = 16_384
 #: Parts of a residual, and code words for each.
 PARTS, WORDS = 8, 64
 
@@ -134,7 +136,12 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
                 yield pd.DataFrame({"model_version": m, "cell": probes.ravel().astype("int32"), "id": g["id"].to_numpy()[at], "unit": [g["unit"].iloc[i] for i in at]})
 
     queries = rows.select("model_version", "id", "unit").mapInPandas(visit, "model_version string, cell int, id long, unit array<float>")
-    queries = queries.join(sizes, ["model_version", "cell"]).select("model_version", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "unit")
+    visits = materialize(queries, "visits")
+    asked_of = visits.groupBy("model_version", "cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("shares"))
+    grids = materialize(sizes.join(asked_of, ["model_version", "cell"]), "grids")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    queries = visits.join(grids, ["model_version", "cell"]).select("model_version", "cell", each("blocks").alias("block"), F.pmod(F.xxhash64("id"), F.col("shares")).cast("int").alias("share"), "id", "unit")
+    members = members.join(grids, ["model_version", "cell"]).select("model_version", "cell", "block", each("shares").alias("share"), "id", "codes", "unit")
 
     def search(key, asked, held):
         if not len(asked) or not len(held):
@@ -156,7 +163,7 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
         both = pd.concat(out)
         return both[np.isfinite(both["similarity"])]
 
-    keys = ["model_version", "cell", "block"]
+    keys = ["model_version", "cell", "block", "share"]
     hits = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(search, "id long, neighbour long, similarity double")
     pair = F.struct((-F.col("similarity")).alias("s"), "neighbour")
     top = hits.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(pair)), 1, k).alias("top"))

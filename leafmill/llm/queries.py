@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import once, source_key, table
-from . import canon, cutoffs, language, lines, mixing, neighbours, pieces, spam, tokens
+from . import canon, cutoffs, language, lines, mixing, neighbours, pieces, scans, spam, tokens
 
 
 def p8_ids(spark, folder):
@@ -47,6 +47,14 @@ def p2_neighbours(spark, folder):
     return neighbours.nearest(table(spark, folder, "page_embeddings"))
 
 
+def p3_found(spark, folder):
+    return scans.noisy_lines(scans.clean_pages(table(spark, folder, "pages"), table(spark, folder, "source_documents")))
+
+
+def p3_clean(spark, folder):
+    return scans.clean_pages(table(spark, folder, "pages"), table(spark, folder, "source_documents"))
+
+
 def p4_found(spark, folder):
     return lines.lines_to_remove(table(spark, folder, "pages"), table(spark, folder, "source_documents"))[0]
 
@@ -107,5 +115,5 @@ def p10_scores(spark, folder):
     return spam.keyword_spam(table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_counts": p5_counts, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
+QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_counts": p5_counts, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
 SQL = {"p8_roundtrip": "SELECT doc_id, true AS same FROM documents"}

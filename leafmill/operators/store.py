@@ -18,7 +18,8 @@ from ..session import materialize
 
 
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    kinds = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "timestamp": T.TimestampType(), "array<float>": T.ArrayType(T.FloatType())}
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in (x.split() for x in text.split(", "))])
 
 
 DOCUMENTS = _schema("id bigint, source_url string, source_sha256 string, source_filename string, source_label string, document_title string, source_unit string, created_at timestamp, updated_at timestamp")

@@ -116,4 +116,24 @@ def p10_scores(spark, folder):
 
 
 QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_counts": p5_counts, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
-SQL = {"p8_roundtrip": "SELECT doc_id, true AS same FROM documents"}
+_SPACE = r"[\p{Z}\t\n\x0B\f\r\x{85}\x1C-\x1F]"
+_LABEL = rf"nullif(lower(regexp_replace(source_label, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), '')"
+_TEXT = rf"regexp_replace(coalesce(normalized_text_content, text_content), '\A{_SPACE}+|{_SPACE}+\z', '', 'g')"
+_DOCS = f"(SELECT DISTINCT id AS document_id, {_LABEL} AS source FROM source_documents)"
+_LINES = (
+    "WITH l AS (SELECT DISTINCT page_id, document_id, line_no, k FROM (SELECT id AS page_id, document_id, generate_subscripts(x, 1) AS line_no, regexp_replace(lower(unnest(x)), '[^\\p{L}\\p{Nd}]', '', 'g') AS k "
+    "FROM (SELECT DISTINCT id, document_id, string_split(text_content, chr(10)) AS x FROM pages WHERE text_content IS NOT NULL)) WHERE length(k) >= 20), "
+    f"d AS {_DOCS}, n AS (SELECT source, count(*) AS n_docs FROM d WHERE source IS NOT NULL GROUP BY source), "
+    "c AS (SELECT source, k, count(DISTINCT document_id) AS in_docs, any_value(n_docs) AS n_docs FROM l JOIN d USING (document_id) JOIN n USING (source) GROUP BY source, k HAVING count(DISTINCT document_id) >= 4 AND count(DISTINCT document_id) * 100 >= any_value(n_docs) * 2) "
+).replace("\\\\", "\\")
+_SCORES = f"s AS (SELECT p.id AS page_id, d.source, p.quality_score AS score FROM (SELECT DISTINCT ON (id) * FROM pages) p JOIN {_DOCS} d USING (document_id) WHERE d.source IS NOT NULL AND p.quality_score BETWEEN 0 AND 1 AND NOT isnan(p.quality_score))"
+_TARGETS = f"t AS (SELECT source, max(least(greatest(keep_percent, 0), 100)) AS keep_percent FROM (SELECT {_LABEL} AS source, keep_percent FROM source_targets) WHERE source IS NOT NULL AND keep_percent IS NOT NULL GROUP BY source)"
+_CUTS = f"WITH {_SCORES}, {_TARGETS}, r AS (SELECT s.*, row_number() OVER (PARTITION BY source ORDER BY score DESC) AS rank, count(*) OVER (PARTITION BY source) AS n FROM s), c AS (SELECT r.source, min(score) AS cutoff FROM r JOIN t USING (source) WHERE rank = (n * keep_percent + 99) // 100 GROUP BY r.source) "
+
+SQL = {
+    "p4_found": _LINES + "SELECT page_id, line_no::BIGINT AS line_no FROM l JOIN d USING (document_id) JOIN c USING (source, k)",
+    "p5_found": f"SELECT DISTINCT id AS page_id, (list_max(list_transform(string_split_regex(t, '{_SPACE}+'), lambda x: strlen(x))) > 1200)::BIGINT AS forced FROM (SELECT id, {_TEXT} AS t FROM pages) WHERE strlen(t) > 1200",
+    "p7_found": _CUTS + "SELECT page_id FROM s JOIN c USING (source) WHERE score >= cutoff",
+    "p7_cutoffs": _CUTS + "SELECT t.source, t.keep_percent::BIGINT AS keep_percent, coalesce((SELECT count(*) FROM s WHERE s.source = t.source), 0) AS n, c.cutoff, coalesce((SELECT count(*) FROM s WHERE s.source = t.source AND s.score >= c.cutoff), 0) AS kept FROM t LEFT JOIN c USING (source)",
+    "p8_roundtrip": "SELECT doc_id, true AS same FROM documents",
+}

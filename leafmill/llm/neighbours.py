@@ -24,13 +24,13 @@ DIM, K, MIN_COSINE = 32, 5, 0.97
 #: Vectors of a model version that centroids and code words are fitted on: a hashed sample of about so many.
 FIT_ROWS = 20_000
 #: Lists that a query visits, and candidates of a visited block that are reranked exactly.
-PROBES, RERANK = 12, 24
+PROBES, RERANK = 12, 32
 #: Vectors of a list, about, and at most in a block of it; centroids at most.
 LIST_ROWS, BLOCK_ROWS, MAX_LISTS = 400, 4096, 16_384
 #: Queries of a visited list that meet a block at a time, at most about.
 QUERY_ROWS = 16_384
 #: Parts of a residual, and code words for each.
-PARTS, WORDS = 8, 64
+PARTS, WORDS = 16, 64
 
 
 def usable(vector: str) -> Column:

@@ -28,8 +28,10 @@ MIN_CHARS = 40
 FLAGGED, EXTREME = 0.8, 0.52
 #: Ends of sentences, and figures, for 100 words: confirmed below both.
 MAX_SENTENCES, MAX_FIGURES = 2.0, 9.0
-#: Texts that a class of language and length must have for a usual size of its own.
+#: Texts that a class of language and length, or of length alone, must have for a usual size of its own.
 MIN_CLASS = 30
+#: The usual size where a corpus has too few texts of a length: that of running text, by the doublings of its length over 64 characters.
+USUAL, USUAL_FALL, USUAL_LEAST = 0.863, 0.085, 0.46
 
 _RULE = re.compile(r"([^\w])\1+|(.)\2{7,}", re.S)
 _LINK = re.compile(r"(?:https?://|www\.)\S+|\b[\w-]+(?:\.[\w-]+)+/\S*")
@@ -92,10 +94,11 @@ def keyword_spam(documents: DataFrame) -> DataFrame:
     own = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.lower("lang"), F.lit("")).alias("lang"))
     measured = materialize(own.mapInPandas(_measure, "doc_id long, lang string, class int, part double, block_chars int, chars int, sentences double, figures double, links double"), "measures")
     usual = lambda *by: measured.where("block_chars > 0").groupBy(*by).agg(F.percentile_approx("part", 0.5, 1000).alias("usual"), F.count("*").alias("n"))
-    by_length = usual("class").select("class", F.col("usual").alias("by_length"))
+    by_length = usual("class").where(F.col("n") >= MIN_CLASS).select("class", F.col("usual").alias("by_length"))
     by_both = usual("lang", "class").where(F.col("n") >= MIN_CLASS).select("lang", "class", F.col("usual").alias("by_both"))
     # a class is half a doubling of a block's length, so there are at most 23; labels are joined by a shuffle if they were many
-    z = F.when(F.col("block_chars") > 0, F.col("part") / F.coalesce("by_both", "by_length")).otherwise(1.0)
+    other = F.greatest(F.lit(USUAL_LEAST), F.lit(USUAL) - USUAL_FALL * (F.col("class") / 2 - 6))
+    z = F.when(F.col("block_chars") > 0, F.col("part") / F.coalesce("by_both", "by_length", other)).otherwise(1.0)
     scored = measured.join(F.broadcast(by_length), "class", "left").join(by_both, ["lang", "class"], "left").withColumn("redundancy", z)
     sure = F.col("redundancy") < EXTREME
     confirmed = (F.col("redundancy") < FLAGGED) & (F.col("sentences") < MAX_SENTENCES) & (F.col("figures") < MAX_FIGURES)

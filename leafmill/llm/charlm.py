@@ -19,7 +19,7 @@ from .canon import tables
 #: n-grams of up to so many characters.
 ORDER = 4
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
-_NOT_LETTERS = re.compile(r"[^\W\d_]*\d\w*|[\W\d_]+")
+_NOT_LETTERS = re.compile(r"(?<![^\W_])[^\W\d_]*+\d\w*|[\W\d_]+")
 _LETTERS = re.compile(r"[^\W\d_]")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from ..operators.skew import join_hot
 from ..plans.tables import once, source_key
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 
 #: Bits of a coded score. A source has at most 2 ** (LEVELS + 1) nodes, whatever its size.
 LEVELS = 14
@@ -78,7 +78,7 @@ class CountTree:
 
 def page_scores(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(page_id, source, score) of each page once; pages of documents without a label have a null source."""
-    own = once(pages.select("id", "document_id", F.col("quality_score").alias("score")))
+    own = materialize(once(pages.select("id", "document_id", F.col("quality_score").alias("score"))), "scores")
     labels = once(documents.select("id", "source_label")).select(F.col("id").alias("document_id"), source_key().alias("source"))
     return join_hot(own, labels, "document_id").select(F.col("id").alias("page_id"), "source", "score")
 

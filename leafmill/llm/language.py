@@ -45,7 +45,7 @@ def page_labels(pages: DataFrame, results: DataFrame, configs: DataFrame) -> Dat
     runs = configs.groupBy("run_id").agg(F.first("languages").alias("languages"))
     latest = results.where("document_id IS NOT NULL").groupBy("document_id").agg(F.max_by("run_id", F.struct("finished_at", "run_id")).alias("run_id"))
     by_document = latest.join(runs, "run_id").select("document_id", tags("languages").alias("run_label"))
-    own = once(pages.select("id", "document_id", tags("language_hints").alias("hints")))
+    own = materialize(once(pages.select("id", "document_id", tags("language_hints").alias("hints"))), "hints")
     return join_hot(own, by_document, "document_id").select(F.col("id").alias("page_id"), F.when(F.size(F.coalesce("run_label", F.array().cast("array<string>"))) > 0, F.col("run_label")).otherwise(F.col("hints")).alias("label"))
 
 

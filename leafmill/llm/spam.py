@@ -34,7 +34,7 @@ MIN_CLASS = 30
 USUAL, USUAL_FALL, USUAL_LEAST = 0.863, 0.085, 0.46
 
 _RULE = re.compile(r"([^\w])\1+|(.)\2{7,}", re.S)
-_LINK = re.compile(r"(?:https?://|www\.)\S+|\b[\w-]+(?:\.[\w-]+)+/\S*")
+_LINK = re.compile(r"(?:https?://|www\.)\S+|(?<![\w.-])[\w-]++(?:\.[\w-]++)+/\S*")
 _CODE = re.compile(r"\b[A-Z]{2}-?\d{3,}\b")
 _END = re.compile(r"(?:[^\W\d_]{2}|\d{3}|\bK|[%)\]\"»])\s?[.!?؟。…](?=\s|$)")
 _FIGURE = re.compile(r"\d+(?:[.,  ]\d+)*")

@@ -142,3 +142,8 @@ def result_metadata(chosen: DataFrame) -> DataFrame:
     """Each page's result as a map of strings."""
     entries = {"source": F.col("source"), "orientation": F.col("orientation").cast("string"), "dpi": F.col("dpi").cast("string"), "quality_score": F.col("quality").cast("string"), "numeric_reason_codes": F.array_join("reason_codes", ",")}
     return chosen.select("page_id", "text", "confidence", F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), v)]).alias("metadata"))
+
+
+def render_dpi(t: Thresholds = RUNTIME) -> int:
+    """The resolution at which one rendering serves every try."""
+    return max(t.base_dpi, t.high_dpi, t.max_dpi)

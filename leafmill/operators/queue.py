@@ -75,3 +75,9 @@ def run_counters(results: DataFrame, written_pages: DataFrame, prior: dict[str,
 
 def ingest_status(seen_before: Column, state: Column) -> Column:
     return F.when(seen_before, "cached").otherwise(F.coalesce(state, F.lit("processed")))
+
+
+def run_summary(counters: DataFrame) -> DataFrame:
+    """One line of a run's counters, in their order."""
+    parts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in counters.columns]
+    return counters.select(F.concat_ws(" ", F.lit("ingest_run"), *parts).alias("line"))

@@ -166,6 +166,19 @@ def recognition_languages(spark, folder):
     return joined.select("id", text.recognition_languages("configured", "language_hints").alias("languages"))
 
 
+@query(f"SELECT run_id, list_transform(list_filter(string_split(array_to_string(languages, ','), ','), lambda x: x <> ''), lambda x: {trim_sql('x')}) AS languages FROM run_configs")
+def cli_languages(spark, folder):
+    return table(spark, folder, "run_configs").select("run_id", text.cli_languages(F.array_join("languages", ",")).alias("languages"))
+
+
+@query("SELECT l_orderkey, l_linenumber, greatest(1, round(l_quantity::DOUBLE * 400 / 180)::INT) AS width, greatest(1, round(l_partkey::DOUBLE * 400 / 180)::INT) AS height FROM lineitem")
+def resampled_sizes(spark, folder):
+    from ..sources.pdf import resampled_size
+
+    width, height = resampled_size(F.col("l_quantity").cast("double"), F.col("l_partkey").cast("double"), 400, 180)
+    return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", width.alias("width"), height.alias("height"))
+
+
 # ---- numbers
 
 # the oracle's regular expressions know only ASCII words and digits: their classes and boundaries are written out
@@ -284,6 +297,11 @@ def candidate_errors(spark, folder):
     return candidates.error_records(candidates.choose(*_candidate_table(spark, folder)), 1)
 
 
+@query()
+def result_metadata(spark, folder):
+    return candidates.result_metadata(candidates.choose(*_candidate_table(spark, folder))).select("page_id", F.to_json("metadata").alias("metadata"))
+
+
 @query(
     "WITH c AS (SELECT doc_id, o, row_number() OVER (PARTITION BY doc_id ORDER BY (CASE WHEN o = (doc_id % 4) * 90 THEN 0 ELSE 1 END), o) AS turn, ((doc_id * 7 + o * 3 + 180) % 100) / 100.0 AS confidence FROM documents, (VALUES (0), (90), (180), (270)) t(o) WHERE text IS NOT NULL) "
     "SELECT doc_id, arg_max(o, confidence * 1000 - turn)::INT AS orientation FROM c GROUP BY doc_id"
@@ -408,6 +426,19 @@ def run_counters(spark, folder):
     return row.select("processed_delta", "failed_delta", "chunks_delta", "page_failures_delta", "documents_written_delta", "pages_written_delta")
 
 
+@query(
+    f"SELECT 'ingest_run processed_delta=' || count(*) FILTER (len(failed_pages) = 0) || ' failed_delta=' || count(*) FILTER (len(failed_pages) > 0) || ' chunks_delta=' || sum(chunk_count) FILTER (len(failed_pages) = 0) || ' page_failures_delta=' || sum(len(failed_pages)) AS line FROM {_RESULTS}"
+)
+def run_summary(spark, folder):
+    return queue.run_summary(run_counters(spark, folder).select("processed_delta", "failed_delta", "chunks_delta", "page_failures_delta"))
+
+
+@query(f"SELECT document_id, CASE WHEN document_id % 3 = 0 THEN 'cached' WHEN len(failed_pages) > 0 THEN 'failed' ELSE 'processed' END AS status FROM {_RESULTS}")
+def ingest_statuses(spark, folder):
+    state = F.when(F.col("status") == "failed", F.col("status"))
+    return _results(spark, folder).select(F.col("sha256").alias("document_id"), queue.ingest_status(F.col("sha256") % 3 == 0, state).alias("status"))
+
+
 @query(f"SELECT document_id, CASE WHEN len(failed_pages) > 0 THEN 'd' || document_id || ':' || len(failed_pages) || '[' || array_to_string(list_sort(failed_pages), '|') || ']' END AS entry FROM {_RESULTS}")
 def failed_pages_summary(spark, folder):
     return _results(spark, folder).select(F.col("sha256").alias("document_id"), queue.failed_pages_entry(F.concat(F.lit("d"), "sha256"), "failed_pages").alias("entry"))

@@ -55,8 +55,8 @@ def choose_texts(pages: DataFrame, config: Config) -> DataFrame:
     return first.join(wanted, "page_id", "left_anti").unionByName(again)
 
 
-def process(new: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
-    """``new`` files to the rows of the store, and the results of the documents."""
+def process(new: DataFrame, config: Config) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``new`` files to the rows of the store, the results of the documents, and the errors of pages."""
     found = materialize(pdf.pages_of(new, config.reader), "pages")
     readable = found.where("page_number > 0 AND error IS NULL")
     chosen = materialize(choose_texts(readable, config), "chosen")
@@ -65,7 +65,8 @@ def process(new: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
     results = queue.document_results(keyed.select("sha256", "page_number", "text", "error").unionByName(broken))
     text = trim_space("text")
     good = keyed.where(F.col("error").isNull() & (text != "")).withColumn("text", text)
-    return embedding.embed_pages(good, config.dimension, config.model_version), results
+    errors = candidates.error_records(chosen) if config.recognition else None
+    return embedding.embed_pages(good, config.dimension, config.model_version), results, errors
 
 
 def run(spark: SparkSession, config: Config, source: DataFrame | None = None) -> DataFrame:
@@ -80,7 +81,7 @@ def run(spark: SparkSession, config: Config, source: DataFrame | None = None) ->
     found = source if source is not None else files.discover(spark, config.inbox)
     new = queue.pending(found, files.load_seen(spark, config.seen), config.max_documents)
     new = materialize(queue.with_manifest(new, files.load_manifest(spark, config.manifest)), "pending")
-    rows, results = process(new, config)
+    rows, results, errors = process(new, config)
     results = materialize(results.join(new.select("sha256", "file_name"), "sha256"), "results")
     if config.timeout_seconds is not None and time.monotonic() - began >= config.timeout_seconds:
         raise TimeoutError("the deadline passed before anything was written")
@@ -94,5 +95,7 @@ def run(spark: SparkSession, config: Config, source: DataFrame | None = None) ->
     requests = materialize(requests, "requests")
     if requests.limit(1).count():
         Store(spark, config.store).write(requests, config.dimension)
+    if errors is not None:
+        errors.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(f"{config.store}/errors")
     files.append_seen(results.where("status = 'processed'"), config.seen)
     return queue.run_counters(results, requests.select(F.col("source_sha256").alias("sha256")))

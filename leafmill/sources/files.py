@@ -56,3 +56,9 @@ def upload_errors(uploads: DataFrame) -> DataFrame:
     """``uploads`` (content) with ``error``: 400 without content, 413 beyond 50 MB, 415 if it isn't PDF, or null."""
     n = F.coalesce(F.octet_length("content"), F.lit(0))
     return uploads.withColumn("error", F.when(n == 0, 400).when(n > MAX_UPLOAD, 413).when(~has_pdf_magic("content"), 415))
+
+
+def write_manifest(entries: DataFrame, path: str) -> None:
+    """Entries (file_name, source_url, source_label, document_title) as one JSON object by file name: a manifest is a file that people keep."""
+    one = entries.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("file_name", F.struct("source_url", "source_label", "document_title"))))).alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(path)

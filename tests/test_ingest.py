@@ -61,6 +61,7 @@ def test_run_and_second_run(spark, tmp_path):
     kept = Store(spark, config.store)
     docs = {d.file_name: d for d in reads.list_documents(kept.read("documents"), kept.read("pages")).collect()}
     assert docs["a.pdf"].source_label == "Harbour" and docs["a.pdf"].page_count == 2 and docs["partial.pdf"].page_count == 1
+    assert spark.read.parquet(f"{config.store}/errors").count() == 0
     page = kept.read("pages").where("page_number = 2").first()
     assert (page.extraction_method, page.text_content.endswith("second")) == ("text_layer", True)
     # the whole document is seen now; the others are tried again, to the same rows
@@ -101,6 +102,9 @@ def test_stream(spark, tmp_path):
 def test_manifest_and_seen(spark, tmp_path):
     assert files.load_manifest(spark, None).count() == 0
     assert files.load_seen(spark, f"file://{tmp_path}/none").count() == 0
+    entry = [("a.pdf", "u", "L", None)]
+    files.write_manifest(spark.createDataFrame(entry, "file_name string, source_url string, source_label string, document_title string"), f"file://{tmp_path}/manifest")
+    assert [tuple(r) for r in files.load_manifest(spark, f"file://{tmp_path}/manifest").collect()] == entry
     (tmp_path / "s").write_text("x\n\ny\nx\n")
     assert sorted(r.sha256 for r in files.load_seen(spark, f"file://{tmp_path}/s").collect()) == ["x", "y"]
 

@@ -30,15 +30,22 @@ LIBRARY = Thresholds()
 RUNTIME = Thresholds(min_chars=40, min_confidence=0.20, min_sanity=0.40, min_quality=0.45, sweep_trigger=0.60)
 
 
-def quality_score(text: Column | str, confidence: Column, baseline: int) -> Column:
-    """0.45 for length up to the baseline, 0.35 for confidence, 0.2 for sanity; 0 for an empty text."""
-    t = F.col(text) if isinstance(text, str) else text
-    length = F.least(F.lit(1.0), grapheme_count(t) / F.lit(float(max(baseline, 1))))
+def quality_of(chars: Column, sanity: Column, confidence: Column, baseline: int) -> Column:
+    """The score from what is measured of a text: 0.45 for length up to the baseline, 0.35 for confidence, 0.2 for sanity; 0 for an empty text."""
+    length = F.least(F.lit(1.0), chars / F.lit(float(max(baseline, 1))))
     clipped = F.least(F.greatest(confidence, F.lit(0.0)), F.lit(1.0))
-    return F.when(t == "", 0.0).otherwise(0.45 * length + 0.35 * clipped + 0.20 * language_sanity(t))
+    return F.when(chars == 0, 0.0).otherwise(0.45 * length + 0.35 * clipped + 0.20 * sanity)
+
+
+def gate_of(chars: Column, sanity: Column, quality: Column, confidence: Column, t: Thresholds = RUNTIME) -> Column:
+    return (chars >= t.min_chars) & (confidence >= t.min_confidence) & (sanity >= t.min_sanity) & (quality >= t.min_quality)
+
+
+def quality_score(text: Column | str, confidence: Column, baseline: int) -> Column:
+    return quality_of(grapheme_count(text), language_sanity(text), confidence, baseline)
 
 
 def passes_gate(text: Column | str, confidence: Column, t: Thresholds = RUNTIME) -> Column:
-    return (
-        (grapheme_count(text) >= t.min_chars) & (confidence >= t.min_confidence) & (language_sanity(text) >= t.min_sanity) & (quality_score(text, confidence, t.min_chars) >= t.min_quality)
-    )
+    """Whether a candidate is long, confident, sane and good enough."""
+    chars, sanity = grapheme_count(text), language_sanity(text)
+    return gate_of(chars, sanity, quality_of(chars, sanity, confidence, t.min_chars), confidence, t)

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import grouped_fidelity, reason_codes, repair_numbers
-from ..functions.quality import RUNTIME, Thresholds, passes_gate, quality_score
-from ..functions.text import trim_space
+from ..functions.quality import RUNTIME, Thresholds, gate_of, quality_of, quality_score
+from ..functions.text import grapheme_count, language_sanity, trim_space
 from ..session import materialize
 
 TEXT_LAYER, RECOGNISED = "text_layer", "vision_ocr"
@@ -24,25 +24,37 @@ ORIENTATIONS = (0, 90, 180, 270)
 TOLERANCE = 0.05
 
 
-def _candidate(text: Column, confidence: Column, orientation: Column, dpi: Column, source: str, t: Thresholds) -> Column:
-    return F.struct(
-        text.alias("text"), confidence.cast("double").alias("confidence"), orientation.cast("int").alias("orientation"), dpi.cast("int").alias("dpi"), F.lit(source).alias("source"),
-        quality_score(text, confidence.cast("double"), t.min_chars).alias("quality"),
+#: What is known of a candidate, and of the same with its numbers repaired (r_).
+SCORES = ("text", "confidence", "quality", "gate", "r_text", "r_quality", "r_gate", "codes", "fidelity")
+
+
+def scored(df: DataFrame, text: str, confidence: Column, t: Thresholds) -> DataFrame:
+    """``df`` with a column ``scores`` of each row's candidate. Every text is measured once, here: what follows only compares."""
+    df = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_confidence", confidence.cast("double")).withColumn("_repaired", repair_numbers("_text"))
+    for c, of in (("", "_text"), ("r_", "_repaired")):
+        df = df.withColumn(f"_{c}chars", grapheme_count(of)).withColumn(f"_{c}sanity", language_sanity(of))
+        df = df.withColumn(f"_{c}quality", quality_of(F.col(f"_{c}chars"), F.col(f"_{c}sanity"), F.col("_confidence"), t.min_chars))
+        df = df.withColumn(f"_{c}gate", gate_of(F.col(f"_{c}chars"), F.col(f"_{c}sanity"), F.col(f"_{c}quality"), F.col("_confidence"), t))
+    scores = F.struct(
+        F.col("_text").alias("text"), F.col("_confidence").alias("confidence"), F.col("_quality").alias("quality"), F.col("_gate").alias("gate"), F.col("_repaired").alias("r_text"),
+        F.col("_r_quality").alias("r_quality"), F.col("_r_gate").alias("r_gate"), reason_codes("_repaired").alias("codes"), grouped_fidelity("_repaired").alias("fidelity"),
     )
+    own = [c for c in df.columns if not c.startswith("_")]
+    return df.select(*own, scores.alias("scores"))
 
 
-def _recognised(orientation: Column, dpi: Column, t: Thresholds) -> Column:
-    found = F.try_element_at(F.col("candidates"), (orientation * 10_000 + dpi).cast("int"))
-    return _candidate(F.coalesce(found["text"], F.lit("")), F.coalesce(found["confidence"], F.lit(MISSING_CONFIDENCE)), orientation, dpi, RECOGNISED, t)
+def _nothing() -> Column:
+    """A candidate that isn't there."""
+    values = {"text": F.lit(""), "confidence": F.lit(MISSING_CONFIDENCE), "quality": F.lit(0.0), "gate": F.lit(False), "r_text": F.lit(""), "r_quality": F.lit(0.0), "r_gate": F.lit(False), "codes": F.array().cast("array<string>"), "fidelity": F.lit(0)}
+    return F.struct(*[v.alias(k) for k, v in values.items()])
 
 
-def repaired(c: Column, t: Thresholds) -> Column:
-    """The candidate with its numbers repaired, scored anew, with its codes and fidelity."""
-    text = repair_numbers(c["text"])
-    return F.struct(
-        text.alias("text"), c["confidence"].alias("confidence"), c["orientation"].alias("orientation"), c["dpi"].alias("dpi"), c["source"].alias("source"),
-        quality_score(text, c["confidence"], t.min_chars).alias("quality"), reason_codes(text).alias("codes"), grouped_fidelity(text).alias("fidelity"),
-    )
+def _placed(scores: Column, orientation: Column, dpi: Column, source: str) -> Column:
+    return F.struct(*[scores[k].alias(k) for k in SCORES], orientation.cast("int").alias("orientation"), dpi.cast("int").alias("dpi"), F.lit(source).alias("source"))
+
+
+def _recognised(orientation: Column, dpi: Column) -> Column:
+    return _placed(F.coalesce(F.try_element_at(F.col("candidates"), (orientation * 10_000 + dpi).cast("int")), _nothing()), orientation, dpi, RECOGNISED)
 
 
 def retry_signals(seed_orientation: Column, metadata_orientation: Column, seed_dpi: Column, t: Thresholds = RUNTIME) -> Column:
@@ -61,65 +73,58 @@ def preferred(new: Column, old: Column) -> Column:
     """Whether a repaired candidate replaces the current one."""
     n_new, n_old = F.size(new["codes"]), F.size(old["codes"])
     return (
-        F.when(trim_space(new["text"]) == "", False).when(trim_space(old["text"]) == "", True).when(new["quality"] + TOLERANCE < old["quality"], False)
+        F.when(trim_space(new["r_text"]) == "", False).when(trim_space(old["r_text"]) == "", True).when(new["r_quality"] + TOLERANCE < old["r_quality"], False)
         .when(n_new != n_old, n_new < n_old).when(new["fidelity"] != old["fidelity"], new["fidelity"] > old["fidelity"])
-        .when(new["quality"] != old["quality"], new["quality"] > old["quality"]).otherwise(new["confidence"] > old["confidence"])
+        .when(new["r_quality"] != old["r_quality"], new["r_quality"] > old["r_quality"]).otherwise(new["confidence"] > old["confidence"])
     )
 
 
-def with_candidates(pages: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``pages`` (page_id, text_layer_text, orientation) with the map of each page's candidates; of equal keys the most confident counts."""
-    best = candidates.groupBy("page_id", (F.col("orientation") * 10_000 + F.col("dpi")).cast("int").alias("key")).agg(
-        F.max_by(F.struct("text", F.col("confidence").cast("double").alias("confidence")), F.struct("confidence", "text")).alias("value")
-    )
-    maps = best.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("candidates"))
+def with_candidates(pages: DataFrame, candidates: DataFrame, t: Thresholds) -> DataFrame:
+    """``pages`` with the map of each page's scored candidates; of equal keys the most confident counts."""
+    best = candidates.groupBy("page_id", (F.col("orientation") * 10_000 + F.col("dpi")).cast("int").alias("key")).agg(F.max_by(F.struct("text", "confidence"), F.struct("confidence", "text")).alias("v"))
+    rows = scored(best.select("page_id", "key", "v.text", "v.confidence"), "text", F.col("confidence"), t)
+    maps = rows.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "scores"))).alias("candidates"))
     return pages.join(maps, "page_id", "left")
 
 
 def choose(pages: DataFrame, candidates: DataFrame, t: Thresholds = RUNTIME) -> DataFrame:
     """The chosen text of each page, or why there is none.
 
-    Columns: page_id, page_number (if ``pages`` has it), text, raw_text,
-    quality, confidence, orientation, dpi, source, swept, retried_high_dpi,
-    second_pass, reason_codes, first_codes, error. ``error`` is null,
-    ``quality_gate_failed`` or ``no_candidate``; such pages keep their row, so
-    that a page never fails its task. ``raw_text`` is the text before repair.
-    ``first_codes`` are the codes that called for retries. A null or blank text
-    layer counts as none, a null orientation as upright.
+    Columns: page_id, document_id and page_number (if ``pages`` has them),
+    text, raw_text, quality, confidence, orientation, dpi, source, swept,
+    retried_high_dpi, second_pass, reason_codes, first_codes, error. ``error``
+    is null, ``quality_gate_failed`` or ``no_candidate``; such pages keep their
+    row, so that a page never fails its task. ``raw_text`` is the text before
+    repair. ``first_codes`` are the codes that called for retries. A null or
+    blank text layer counts as none, a null orientation as upright.
     """
-    gate = lambda c: passes_gate(c["text"], c["confidence"], t)
-    df = with_candidates(pages.withColumn("orientation", F.coalesce("orientation", F.lit(0)).cast("int")), candidates)
-    df = df.withColumn("layer", _candidate(F.coalesce(trim_space("text_layer_text"), F.lit("")), F.lit(LAYER_CONFIDENCE), F.col("orientation"), F.lit(t.base_dpi), TEXT_LAYER, t))
-    df = df.withColumn("by_layer", (F.col("layer.text") != "") & gate(F.col("layer")))
-    # each step is a column of its own, so that a text is scored once
-    df = df.withColumn("base", _recognised(F.col("orientation"), F.lit(t.base_dpi), t))
+    own = pages.select("page_id", *[c for c in ("document_id", "page_number") if c in pages.columns], trim_space("text_layer_text").alias("layer_text"), F.coalesce("orientation", F.lit(0)).cast("int").alias("orientation"))
+    layered = scored(own, "layer_text", F.lit(LAYER_CONFIDENCE), t).withColumnRenamed("scores", "layer")
+    df = with_candidates(layered, candidates, t)
+    df = df.withColumn("by_layer", (F.col("layer.text") != "") & F.col("layer.gate"))
+    df = df.withColumn("base", _recognised(F.col("orientation"), F.lit(t.base_dpi)))
     df = df.withColumn("swept", ~F.col("by_layer") & (F.col("base.quality") < t.sweep_trigger))
-    others = F.array(*[F.when(F.lit(o) != F.col("orientation"), _recognised(F.lit(o), F.lit(t.base_dpi), t)) for o in ORIENTATIONS])
+    others = F.array(*[F.when(F.lit(o) != F.col("orientation"), _recognised(F.lit(o), F.lit(t.base_dpi))) for o in ORIENTATIONS])
     first_best = F.aggregate(F.array_compact(others), F.col("base"), lambda a, c: F.when(c["quality"] > a["quality"], c).otherwise(a))
     df = df.withColumn("turned", F.when(F.col("swept"), first_best).otherwise(F.col("base")))
-    df = df.withColumn("high", ~F.col("by_layer") & ~gate(F.col("turned"))).withColumn("sharp", F.when(F.col("high"), _recognised(F.col("turned.orientation"), F.lit(t.high_dpi), t)))
-    seed = F.when(F.col("by_layer"), F.col("layer")).when(F.col("high") & (F.col("sharp.quality") >= F.col("turned.quality")), F.col("sharp")).otherwise(F.col("turned"))
-    df = df.withColumn("seed", seed).withColumn("first", repaired(F.col("seed"), t)).withColumn("second_pass", F.size("first.codes") > 0)
-    # the text before repair goes along, as repair loses characters
-    held = lambda c, raw: F.struct(*[c[x].alias(x) for x in ("text", "confidence", "orientation", "dpi", "source", "quality", "codes", "fidelity")], raw.alias("raw"))
-    signals = retry_signals(F.col("first.orientation"), F.col("orientation"), F.col("first.dpi"), t)
-    raws = F.transform(signals, lambda s: _recognised(s["orientation"], s["dpi"], t))
-    df = df.withColumn("retries", F.when(F.col("second_pass"), F.transform(raws, lambda c: held(repaired(c, t), c["text"]))).otherwise(F.array()))
-    last = F.aggregate(
-        "retries", held(F.col("first"), F.col("seed.text")),
-        lambda a, c: F.when((F.size(a["codes"]) > 0) & preferred(c, a), c).otherwise(a),
-    )
+    df = df.withColumn("high", ~F.col("by_layer") & ~F.col("turned.gate")).withColumn("sharp", _recognised(F.col("turned.orientation"), F.lit(t.high_dpi)))
+    layer = _placed(F.col("layer"), F.col("orientation"), F.lit(t.base_dpi), TEXT_LAYER)
+    seed = F.when(F.col("by_layer"), layer).when(F.col("high") & (F.col("sharp.quality") >= F.col("turned.quality")), F.col("sharp")).otherwise(F.col("turned"))
+    df = df.withColumn("seed", seed).withColumn("second_pass", F.size("seed.codes") > 0)
+    signals = retry_signals(F.col("seed.orientation"), F.col("orientation"), F.col("seed.dpi"), t)
+    retries = F.when(F.col("second_pass"), F.transform(signals, lambda s: _recognised(s["orientation"], s["dpi"]))).otherwise(F.array())
+    last = F.aggregate(retries, F.col("seed"), lambda a, c: F.when((F.size(a["codes"]) > 0) & preferred(c, a), c).otherwise(a))
     df = df.withColumn("chosen", last)
-    error = F.when(~gate(F.col("chosen")), "quality_gate_failed").when(trim_space(F.col("chosen.text")) == "", "no_candidate")
+    error = F.when(~F.col("chosen.r_gate"), "quality_gate_failed").when(trim_space("chosen.r_text") == "", "no_candidate")
     source = F.when(F.col("by_layer"), F.col("chosen.source")).otherwise(F.lit(RECOGNISED))
     high = F.when(F.col("by_layer"), F.col("chosen.source") == RECOGNISED).otherwise(F.col("high") | (F.col("chosen.dpi") >= t.high_dpi))
     kept = [c for c in ("document_id", "page_number") if c in pages.columns]
     out = df.select(
-        "page_id", *kept, F.col("chosen.text").alias("text"), F.col("chosen.raw").alias("raw_text"), F.col("chosen.quality").alias("quality"), F.col("chosen.confidence").alias("confidence"),
+        "page_id", *kept, F.col("chosen.r_text").alias("text"), F.col("chosen.text").alias("raw_text"), F.col("chosen.r_quality").alias("quality"), F.col("chosen.confidence").alias("confidence"),
         F.col("chosen.orientation").alias("orientation"), F.col("chosen.dpi").alias("dpi"), source.alias("source"), "swept", high.alias("retried_high_dpi"), "second_pass",
-        F.col("chosen.codes").alias("reason_codes"), F.col("first.codes").alias("first_codes"), error.alias("error"),
+        F.col("chosen.codes").alias("reason_codes"), F.col("seed.codes").alias("first_codes"), error.alias("error"),
     )
-    # written once: a filter pushed into this chain would unfold it to a tree of a thousand scores
+    # written once: a filter pushed into this chain would unfold it to a tree of a thousand comparisons
     return materialize(out, "chosen")
 
 

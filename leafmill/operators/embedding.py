@@ -45,21 +45,19 @@ def embed(text: Column | str, dimension: int = 16) -> Column:
 
 
 def slot_means(df: DataFrame, key: str, text: str, dimension: int = 16) -> DataFrame:
-    """(key, slot, value): the same values by expressions alone, in double precision; no row for a null text.
-
-    The sums are folds over the bytes of each text, so that nothing is shuffled.
-    """
-    # two hexadecimal digits a byte
-    code = F.hex(F.encode(text, "UTF-8"))
-    n = F.octet_length(text)
-    own = df.where(F.col(text).isNotNull()).select(key, code.alias("h"), n.alias("n"))
-    pairs = own.withColumn("b", F.transform(F.regexp_extract_all("h", F.lit(".."), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("int") - 127))
-    slot_sum = lambda s: F.aggregate(F.filter("b", lambda _, i: i % dimension == s), F.lit(0).cast("long"), lambda a, x: a + x)
-    sums = pairs.select(key, "n", F.transform(F.sequence(F.lit(0), F.lit(dimension - 1)), slot_sum).alias("sums"))
-    values = F.when(F.col("n") > 0, F.transform("sums", lambda x: x / (127.0 * F.col("n")))).otherwise(F.transform("sums", lambda _: F.lit(0.0)))
-    zero = (F.col("n") > 0) & F.forall("sums", lambda x: x == 0)
-    fixed = F.when(zero, F.transform(values, lambda _, i: F.when(i == 0, 1.0).otherwise(0.0))).otherwise(values)
-    return sums.select(key, F.posexplode(fixed).alias("slot", "value"))
+    """(key, slot, value): the same values a row a slot, from whole-number sums in double precision; no row for a null text."""
+
+    def means(t: str) -> list[float]:
+        data = np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8)
+        rows = np.full((max(1, -(-len(data) // dimension)), dimension), 127, np.int64)
+        rows.ravel()[: len(data)] = data
+        sums = (rows - 127).sum(axis=0)
+        if len(data) and not sums.any():
+            return [1.0] + [0.0] * (dimension - 1)
+        return (sums / (127.0 * max(1, len(data)))).tolist()
+
+    values = F.pandas_udf(lambda s: s.map(means), T.ArrayType(T.DoubleType()))
+    return df.where(F.col(text).isNotNull()).select(key, F.posexplode(values(text)).alias("slot", "value"))
 
 
 def validation_error(text: Column | str, vector: Column | str, dimension: int) -> tuple[Column, Column]:

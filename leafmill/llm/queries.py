@@ -130,8 +130,15 @@ _SCORES = f"s AS (SELECT p.id AS page_id, d.source, p.quality_score AS score FRO
 _TARGETS = f"t AS (SELECT source, max(least(greatest(keep_percent, 0), 100)) AS keep_percent FROM (SELECT {_LABEL} AS source, keep_percent FROM source_targets) WHERE source IS NOT NULL AND keep_percent IS NOT NULL GROUP BY source)"
 _CUTS = f"WITH {_SCORES}, {_TARGETS}, r AS (SELECT s.*, row_number() OVER (PARTITION BY source ORDER BY score DESC) AS rank, count(*) OVER (PARTITION BY source) AS n FROM s), c AS (SELECT r.source, min(score) AS cutoff FROM r JOIN t USING (source) WHERE rank = (n * keep_percent + 99) // 100 GROUP BY r.source) "
 
+_FOUND = "SELECT page_id, line_no::BIGINT AS line_no FROM l JOIN d USING (document_id) JOIN c USING (source, k)"
+
 SQL = {
-    "p4_found": _LINES + "SELECT page_id, line_no::BIGINT AS line_no FROM l JOIN d USING (document_id) JOIN c USING (source, k)",
+    "p4_clean": _LINES + f", g AS (SELECT page_id, list(line_no) AS gone FROM ({_FOUND}) GROUP BY page_id) "
+    "SELECT p.id AS page_id, coalesce(len(gone), 0)::INT AS n_removed, CASE WHEN gone IS NULL THEN text_content ELSE array_to_string(list_filter(string_split(text_content, chr(10)), lambda x, i: NOT list_contains(gone, i)), chr(10)) END AS text "
+    "FROM (SELECT DISTINCT id, text_content FROM pages) p LEFT JOIN g ON g.page_id = p.id",
+    "p5_counts": f"SELECT document_id, pages, pieces::BIGINT AS pieces, chunk_count FROM (SELECT document_id, count(*) AS pages, sum(CASE WHEN n > {pieces.LIMIT} THEN ceil(n / {float(pieces.grid()[0])}) WHEN n > 0 THEN 1 ELSE 0 END) AS pieces "
+    f"FROM (SELECT DISTINCT id, document_id, strlen({_TEXT}) AS n FROM pages) GROUP BY document_id) FULL JOIN (SELECT document_id, arg_max(chunk_count, finished_at) AS chunk_count FROM document_results GROUP BY document_id) USING (document_id)",
+    "p4_found": _LINES + _FOUND,
     "p5_found": f"SELECT DISTINCT id AS page_id, (list_max(list_transform(string_split_regex(t, '{_SPACE}+'), lambda x: strlen(x))) > 1200)::BIGINT AS forced FROM (SELECT id, {_TEXT} AS t FROM pages) WHERE strlen(t) > 1200",
     "p7_found": _CUTS + "SELECT page_id FROM s JOIN c USING (source) WHERE score >= cutoff",
     "p7_cutoffs": _CUTS + "SELECT t.source, t.keep_percent::BIGINT AS keep_percent, coalesce((SELECT count(*) FROM s WHERE s.source = t.source), 0) AS n, c.cutoff, coalesce((SELECT count(*) FROM s WHERE s.source = t.source AND s.score >= c.cutoff), 0) AS kept FROM t LEFT JOIN c USING (source)",

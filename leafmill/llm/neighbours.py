@@ -80,13 +80,19 @@ class Index:
         scores = v @ self.centroids.T - (self.centroids**2).sum(1) / 2
         return np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < len(self.centroids) else np.tile(np.arange(n), (len(v), 1))
 
-    def approximate(self, q: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
-        """Inner products of queries with coded vectors of a list, by tables of the queries' parts against the code words."""
-        tables = np.einsum("qpd,pwd->pqw", q.reshape(len(q), PARTS, -1), self.words)
-        out = np.repeat((q @ self.centroids[cell])[:, None], len(codes), axis=1)
-        for p in range(PARTS):
-            out += tables[p][:, codes[:, p]]
-        return out
+    def decode(self, cell: int, codes: np.ndarray) -> np.ndarray:
+        """The vectors of a list that codes stand for."""
+        return self.centroids[cell] + np.concatenate([w[codes[:, p]] for p, w in enumerate(self.words)], axis=1)
+
+    def approximate(self, q: np.ndarray, decoded: np.ndarray) -> np.ndarray:
+        """Inner products of exact queries with coded vectors.
+
+        A query's distance table holds the products of its parts with the code
+        words; what a code's entries add up to, over the parts, is the product
+        with the decoded vector, so that a block's tables are one product of
+        matrices instead of a gather for each part.
+        """
+        return q @ decoded.T
 
 
 def fit(vectors: DataFrame) -> dict[str, Index]:
@@ -148,9 +154,10 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
             return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "similarity": pd.Series(dtype="float64")})
         codes, units, ids = np.frombuffer(b"".join(held["codes"]), np.uint8).reshape(len(held), PARTS), np.stack(held["unit"]).astype(np.float32), held["id"].to_numpy()
         out = []
+        decoded = index.value[key[0]].decode(int(key[1]), codes)
         for i in range(0, len(asked), 1024):
             q, qid = np.stack(asked["unit"].iloc[i : i + 1024]).astype(np.float32), asked["id"].to_numpy()[i : i + 1024]
-            rough = index.value[key[0]].approximate(q, int(key[1]), codes)
+            rough = index.value[key[0]].approximate(q, decoded)
             rough[qid[:, None] == ids[None, :]] = -np.inf
             n = min(max(RERANK, 3 * k), len(ids))
             best = np.argpartition(-rough, n - 1, axis=1)[:, :n] if n < len(ids) else np.tile(np.arange(n), (len(q), 1))

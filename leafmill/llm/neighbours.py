@@ -45,6 +45,10 @@ def _unit(vectors) -> np.ndarray:
     return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
 
 
+def _units(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.float32).reshape(-1, DIM)
+
+
 def _nearest(v: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     half = (centroids**2).sum(1) / 2
     return np.concatenate([(v[i : i + 4096] @ centroids.T - half).argmax(1) for i in range(0, len(v), 4096)])
@@ -127,9 +131,10 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
             for m, g in f.groupby("model_version", sort=False):
                 v = _unit(g["vector"])
                 cells, codes = index.value[m].encode(v)
-                yield pd.DataFrame({"id": g["id"].to_numpy(), "model_version": m, "cell": cells.astype("int32"), "codes": [c.tobytes() for c in codes], "unit": list(v)})
+                yield pd.DataFrame({"id": g["id"].to_numpy(), "model_version": m, "cell": cells.astype("int32"), "codes": [c.tobytes() for c in codes], "unit": [x.tobytes() for x in v]})
 
-    rows = materialize(own.mapInPandas(assign, "id long, model_version string, cell int, codes binary, unit array<float>"), "index")
+    # unit vectors travel as bytes: visits repeat them
+    rows = materialize(own.mapInPandas(assign, "id long, model_version string, cell int, codes binary, unit binary"), "index")
     # the blocks of a list: as many as its size needs, drawn by hash
     sizes = rows.groupBy("model_version", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     members = rows.join(sizes, ["model_version", "cell"]).select("model_version", "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "codes", "unit")
@@ -137,11 +142,11 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
     def visit(frames):
         for f in frames:
             for m, g in f.groupby("model_version", sort=False):
-                probes = index.value[m].probes(np.stack(g["unit"]).astype(np.float32))
+                probes = index.value[m].probes(_units(g["unit"]))
                 at = np.repeat(np.arange(len(g)), probes.shape[1])
-                yield pd.DataFrame({"model_version": m, "cell": probes.ravel().astype("int32"), "id": g["id"].to_numpy()[at], "unit": [g["unit"].iloc[i] for i in at]})
+                yield pd.DataFrame({"model_version": m, "cell": probes.ravel().astype("int32"), "id": g["id"].to_numpy()[at], "unit": g["unit"].to_numpy()[at]})
 
-    queries = rows.select("model_version", "id", "unit").mapInPandas(visit, "model_version string, cell int, id long, unit array<float>")
+    queries = rows.select("model_version", "id", "unit").mapInPandas(visit, "model_version string, cell int, id long, unit binary")
     visits = materialize(queries, "visits")
     asked_of = visits.groupBy("model_version", "cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("shares"))
     grids = materialize(sizes.join(asked_of, ["model_version", "cell"]), "grids")
@@ -152,11 +157,11 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
     def search(key, asked, held):
         if not len(asked) or not len(held):
             return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "similarity": pd.Series(dtype="float64")})
-        codes, units, ids = np.frombuffer(b"".join(held["codes"]), np.uint8).reshape(len(held), PARTS), np.stack(held["unit"]).astype(np.float32), held["id"].to_numpy()
+        codes, units, ids = np.frombuffer(b"".join(held["codes"]), np.uint8).reshape(len(held), PARTS), _units(held["unit"]), held["id"].to_numpy()
         out = []
         decoded = index.value[key[0]].decode(int(key[1]), codes)
         for i in range(0, len(asked), 1024):
-            q, qid = np.stack(asked["unit"].iloc[i : i + 1024]).astype(np.float32), asked["id"].to_numpy()[i : i + 1024]
+            q, qid = _units(asked["unit"].iloc[i : i + 1024]), asked["id"].to_numpy()[i : i + 1024]
             rough = index.value[key[0]].approximate(q, decoded)
             rough[qid[:, None] == ids[None, :]] = -np.inf
             n = min(max(RERANK, 3 * k), len(ids))

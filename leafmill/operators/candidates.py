@@ -24,29 +24,39 @@ ORIENTATIONS = (0, 90, 180, 270)
 TOLERANCE = 0.05
 
 
-#: What is known of a candidate, and of the same with its numbers repaired (r_).
-SCORES = ("text", "confidence", "quality", "gate", "r_text", "r_quality", "r_gate", "codes", "fidelity")
+#: What is known of a candidate, and of the same with its numbers repaired (r_): of its text alone, and with its confidence.
+OF_TEXT, OF_TRY = ("text", "r_text", "codes", "fidelity"), ("confidence", "quality", "gate", "r_quality", "r_gate")
+SCORES = (*OF_TEXT, *OF_TRY)
 
 
-def scored(df: DataFrame, text: str, confidence: Column, t: Thresholds) -> DataFrame:
-    """``df`` with a column ``scores`` of each row's candidate. Every text is measured once, here: what follows only compares."""
-    df = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_confidence", confidence.cast("double")).withColumn("_repaired", repair_numbers("_text"))
+def measured(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with a column ``m`` of all that each row's text is measured by, whatever its confidence. Every text is measured once, here: what follows only compares."""
+    own = df.columns
+    df = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_repaired", repair_numbers("_text"))
     for c, of in (("", "_text"), ("r_", "_repaired")):
         df = df.withColumn(f"_{c}chars", grapheme_count(of)).withColumn(f"_{c}sanity", language_sanity(of))
-        df = df.withColumn(f"_{c}quality", quality_of(F.col(f"_{c}chars"), F.col(f"_{c}sanity"), F.col("_confidence"), t.min_chars))
-        df = df.withColumn(f"_{c}gate", gate_of(F.col(f"_{c}chars"), F.col(f"_{c}sanity"), F.col(f"_{c}quality"), F.col("_confidence"), t))
-    scores = F.struct(
-        F.col("_text").alias("text"), F.col("_confidence").alias("confidence"), F.col("_quality").alias("quality"), F.col("_gate").alias("gate"), F.col("_repaired").alias("r_text"),
-        F.col("_r_quality").alias("r_quality"), F.col("_r_gate").alias("r_gate"), reason_codes("_repaired").alias("codes"), grouped_fidelity("_repaired").alias("fidelity"),
+    m = F.struct(
+        F.col("_text").alias("text"), F.col("_repaired").alias("r_text"), reason_codes("_repaired").alias("codes"), grouped_fidelity("_repaired").alias("fidelity"),
+        F.col("_chars").alias("chars"), F.col("_sanity").alias("sanity"), F.col("_r_chars").alias("r_chars"), F.col("_r_sanity").alias("r_sanity"),
     )
-    own = [c for c in df.columns if not c.startswith("_")]
-    return df.select(*own, scores.alias("scores"))
+    return df.select(*own, m.alias("m"))
+
+
+def _tried(m: Column, confidence: Column, t: Thresholds) -> list[Column]:
+    """The fields of OF_TRY from what is measured of a text and a confidence."""
+    confidence, out = confidence.cast("double"), {}
+    for c in ("", "r_"):
+        chars, sanity = m[f"{c}chars"], m[f"{c}sanity"]
+        quality = quality_of(chars, sanity, confidence, t.min_chars)
+        out |= {f"{c}quality": quality, f"{c}gate": gate_of(chars, sanity, quality, confidence, t)}
+    out["confidence"] = confidence
+    return [out[k].alias(k) for k in OF_TRY]
 
 
 def _nothing() -> Column:
     """A candidate that isn't there."""
     values = {"text": F.lit(""), "confidence": F.lit(MISSING_CONFIDENCE), "quality": F.lit(0.0), "gate": F.lit(False), "r_text": F.lit(""), "r_quality": F.lit(0.0), "r_gate": F.lit(False), "codes": F.array().cast("array<string>"), "fidelity": F.lit(0)}
-    return F.struct(*[v.alias(k) for k, v in values.items()])
+    return F.struct(*[values[k].alias(k) for k in SCORES])
 
 
 def _placed(scores: Column, orientation: Column, dpi: Column, source: str) -> Column:
@@ -54,7 +64,10 @@ def _placed(scores: Column, orientation: Column, dpi: Column, source: str) -> Co
 
 
 def _recognised(orientation: Column, dpi: Column) -> Column:
-    return _placed(F.coalesce(F.try_element_at(F.col("candidates"), (orientation * 10_000 + dpi).cast("int")), _nothing()), orientation, dpi, RECOGNISED)
+    tried = F.try_element_at(F.col("candidates"), (orientation * 10_000 + dpi).cast("int"))
+    m = F.get(F.col("texts"), tried["at"])
+    scores = F.when(tried.isNotNull(), F.struct(*[m[k].alias(k) for k in OF_TEXT], *[tried[k].alias(k) for k in OF_TRY])).otherwise(_nothing())
+    return _placed(scores, orientation, dpi, RECOGNISED)
 
 
 def retry_signals(seed_orientation: Column, metadata_orientation: Column, seed_dpi: Column, t: Thresholds = RUNTIME) -> Column:
@@ -80,11 +93,22 @@ def preferred(new: Column, old: Column) -> Column:
 
 
 def with_candidates(pages: DataFrame, candidates: DataFrame, t: Thresholds) -> DataFrame:
-    """``pages`` with the map of each page's scored candidates; of equal keys the most confident counts."""
-    best = candidates.groupBy("page_id", (F.col("orientation") * 10_000 + F.col("dpi")).cast("int").alias("key")).agg(F.max_by(F.struct("text", "confidence"), F.struct("confidence", "text")).alias("v"))
-    rows = scored(best.select("page_id", "key", "v.text", "v.confidence"), "text", F.col("confidence"), t)
-    maps = rows.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "scores"))).alias("candidates"))
-    return pages.join(maps, "page_id", "left")
+    """``pages`` with each page's distinct measured ``texts`` and the map of its ``candidates``, each with its text's place; of equal keys the most confident counts, then the greater text.
+
+    A text that several candidates share is moved, measured and kept once.
+    """
+    key = (F.col("orientation") * 10_000 + F.col("dpi")).cast("int")
+    shared = candidates.groupBy("page_id", "text").agg(F.collect_set(F.struct(key.alias("key"), "confidence")).alias("tries"))
+    # written once: a try's expressions would otherwise repeat the measuring of its text
+    once_each = materialize(measured(shared, "text").select("page_id", "m", "tries"), "measured")
+    rows = once_each.select("page_id", "m", F.transform("tries", lambda x: F.struct(x["key"].alias("key"), *_tried(F.col("m"), x["confidence"], t))).alias("tries"))
+    # texts in order, so that of equal confidences the greater place is the greater text
+    pages_of = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("m", "tries"))).alias("found"))
+    placed = F.flatten(F.transform("found", lambda x, i: F.transform(x["tries"], lambda y: F.struct(y["confidence"].alias("confidence"), i.alias("at"), *[y[k].alias(k) for k in ("key", *OF_TRY[1:])]))))
+    pages_of = pages_of.select("page_id", F.transform("found", lambda x: x["m"]).alias("texts"), placed.alias("placed"))
+    keys = F.array_distinct(F.transform("placed", lambda x: x["key"]))
+    best = F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_max(F.filter("placed", lambda x: x["key"] == k))))
+    return pages.join(pages_of.select("page_id", "texts", best.alias("candidates")), "page_id", "left")
 
 
 def choose(pages: DataFrame, candidates: DataFrame, t: Thresholds = RUNTIME) -> DataFrame:
@@ -99,7 +123,8 @@ def choose(pages: DataFrame, candidates: DataFrame, t: Thresholds = RUNTIME) ->
     blank text layer counts as none, a null orientation as upright.
     """
     own = pages.select("page_id", *[c for c in ("document_id", "page_number") if c in pages.columns], trim_space("text_layer_text").alias("layer_text"), F.coalesce("orientation", F.lit(0)).cast("int").alias("orientation"))
-    layered = scored(own, "layer_text", F.lit(LAYER_CONFIDENCE), t).withColumnRenamed("scores", "layer")
+    layered = measured(own, "layer_text")
+    layered = layered.select(*own.columns, F.struct(*[F.col("m")[k].alias(k) for k in OF_TEXT], *_tried(F.col("m"), F.lit(LAYER_CONFIDENCE), t)).alias("layer"))
     df = with_candidates(layered, candidates, t)
     df = df.withColumn("by_layer", (F.col("layer.text") != "") & F.col("layer.gate"))
     df = df.withColumn("base", _recognised(F.col("orientation"), F.lit(t.base_dpi)))

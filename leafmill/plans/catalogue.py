@@ -277,9 +277,10 @@ def _confidence(o, d):
 
 
 def _candidate_table(spark, folder) -> tuple[DataFrame, DataFrame]:
-    """Pages without a text layer, and candidates: the text cut by the page's id and the orientation."""
-    own = _documents(spark, folder).select("doc_id", F.substring("text", 1, 400).alias("text"))
-    pages = own.select(F.col("doc_id").cast("string").alias("page_id"), F.lit(None).cast("string").alias("text_layer_text"), ((F.col("doc_id") % 4) * 90).cast("int").alias("orientation"))
+    """Pages and their candidates, all with the whole text. Pages whose id divides by 3 have it as their text layer too; the candidates of a page differ in confidence."""
+    own = _documents(spark, folder).select("doc_id", "text")
+    layer = F.when(F.pmod("doc_id", F.lit(3)) == 0, F.col("text"))
+    pages = own.select(F.col("doc_id").cast("string").alias("page_id"), layer.alias("text_layer_text"), ((F.col("doc_id") % 4) * 90).cast("int").alias("orientation"))
     tries = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(d).alias("d")) for o, d in [*((o, 180) for o in candidates.ORIENTATIONS), *((o, 320) for o in candidates.ORIENTATIONS), *((o, 390) for o in candidates.ORIENTATIONS)]])
     rows = own.select("doc_id", "text", F.explode(tries).alias("s")).select("doc_id", "text", "s.*")
     made = rows.select(F.col("doc_id").cast("string").alias("page_id"), F.col("o").alias("orientation"), F.col("d").alias("dpi"), "text", _confidence(F.col("o"), F.col("d")).alias("confidence"))

@@ -3,7 +3,9 @@ import dataclasses
 from pyspark.sql import functions as F
 
 from leafmill.functions.quality import LIBRARY
+from leafmill.functions.text import trim_space
 from leafmill.operators import candidates
+from leafmill.plans import catalogue
 
 GOOD = "The ledger lists 31,250 units of stock at the year's end. " * 4
 NOISY = "The ledger lists 3l,2S units, 3125,0 in all and 7.8.9 more. " * 4
@@ -65,3 +67,24 @@ def test_retry_signals(spark):
 def test_text_layer_only_has_no_gate(spark):
     pages = spark.createDataFrame([("a", "short", 0), ("b", "  ", 0), ("c", None, 0)], "page_id string, text_layer_text string, orientation int")
     assert {r.page_id: r.error for r in candidates.text_layer_only(pages).collect()} == {"a": None, "b": "no_text_layer", "c": "no_text_layer"}
+
+
+def test_equal_keys_and_shared_texts(spark):
+    # of equal keys the most confident counts, then the greater text; a text shared by keys keeps each key's confidence
+    found = [(0, 180, GOOD, 0.3), (0, 180, GOOD + "b", 0.7), (0, 180, GOOD + "a", 0.7), (90, 180, GOOD, 0.5), (180, 180, None, 0.9)]
+    r = choose(spark, found).first()
+    assert (r.raw_text, r.confidence, r.orientation) == (GOOD + "b", 0.7, 0)
+    assert choose(spark, [(0, 180, GOOD, 0.1), (90, 180, GOOD, 0.9)]).first().orientation == 90
+
+
+def test_queries_choose_from_whole_texts(spark, data):
+    texts = {str(r.doc_id): r.text for r in catalogue.table(spark, data, "documents").where("text IS NOT NULL").collect()}
+    assert any(len(x) > 400 for x in texts.values())
+    pages, made = catalogue._candidate_table(spark, data)
+    assert all(r.text == texts[r.page_id] for r in made.collect())
+    chosen = candidates.choose(pages, made).collect()
+    trimmed = {r.page_id: r.layer for r in pages.select("page_id", trim_space("text_layer_text").alias("layer")).collect()}
+    assert all(r.raw_text == (trimmed[r.page_id] if r.source == "text_layer" else texts[r.page_id]) for r in chosen if r.error is None)
+    # both branches, and a text layer that sets off retries
+    assert {r.source for r in chosen} == {"text_layer", "vision_ocr"}
+    assert any(r.second_pass and r.source == "text_layer" for r in chosen)

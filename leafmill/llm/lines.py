@@ -3,7 +3,8 @@
 Lines are compared by their letters and digits. For each line and source the
 number of documents inside is held against the number outside by a
 log-likelihood ratio, with control of the false-discovery rate over all lines
-tested; of these, lines in enough of the source's documents are removed, and
+tested, and reported. The stated rule alone decides which lines are removed:
+those in enough of the source's documents, however common they are outside;
 pages are put together again by position.
 """
 
@@ -64,7 +65,7 @@ def significance_cut(tested: DataFrame, rate: float) -> float:
 
 
 def repeated_lines(keyed: DataFrame, documents: DataFrame) -> DataFrame:
-    """(source, key, in_docs, n_docs, all_docs, ratio, significant, testable, excess) of each line in at least MIN_DOCUMENTS documents of a source.
+    """(source, key, in_docs, n_docs, all_docs, ratio, significant, excess) of each line in at least MIN_DOCUMENTS documents of a source.
 
     A source's size is its number of documents, whether they have pages or
     not. ``excess`` is the stated rule, MIN_DOCUMENTS and MIN_PERCENT of the
@@ -81,10 +82,10 @@ def repeated_lines(keyed: DataFrame, documents: DataFrame) -> DataFrame:
     inside = join_hot(materialize(pairs.join(frequent, "key"), "frequent"), labels, "document_id").where("source IS NOT NULL").groupBy("source", "key").agg(F.count("*").alias("in_docs"), F.first("all_docs").alias("all_docs"))
     tested = inside.where(F.col("in_docs") >= MIN_DOCUMENTS).join(sizes, "source")
     outside = F.col("all_docs") - F.col("in_docs")
-    against = lambda k: likelihood_ratio(F.col("in_docs"), F.col("n_docs"), k, F.lit(n_all) - F.col("n_docs"))
-    tested = materialize(tested.withColumn("ratio", F.greatest(against(outside), against(F.lit(0)))), "tested")
+    ratio = likelihood_ratio(F.col("in_docs"), F.col("n_docs"), outside, F.lit(n_all) - F.col("n_docs"))
+    tested = materialize(tested.withColumn("ratio", ratio), "tested")
     cut = significance_cut(tested, FALSE_DISCOVERY)
-    return tested.withColumn("significant", F.col("ratio") >= cut).withColumn("testable", against(F.lit(0)) >= cut).withColumn("excess", F.col("in_docs") * 100 >= F.col("n_docs") * MIN_PERCENT)
+    return tested.withColumn("significant", F.col("ratio") >= cut).withColumn("excess", F.col("in_docs") * 100 >= F.col("n_docs") * MIN_PERCENT)
 
 
 def lines_to_remove(pages: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +98,7 @@ def lines_to_remove(pages: DataFrame, documents: DataFrame) -> tuple[DataFrame,
     """
     keyed = materialize(keyed_lines(pages), "lines")
     repeated = materialize(repeated_lines(keyed, documents), "repeated")
-    chosen = repeated.where("excess AND (significant OR NOT testable)").select("source", "key")
+    chosen = repeated.where("excess").select("source", "key")
     candidates = materialize(keyed.join(chosen.select("key").distinct(), "key", "left_semi"), "candidates")
     labels = once(documents.select("id", "source_label")).select(F.col("id").alias("document_id"), source_key().alias("source"))
     found = join_hot(candidates, labels, "document_id", "inner").join(chosen, ["source", "key"], "left_semi")

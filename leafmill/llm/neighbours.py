@@ -5,7 +5,9 @@ every vector is in the list of its nearest centroid, as a product-quantised
 residual. Every vector is also a query, and visits the nearest lists. There,
 distance tables of the exact query against the code words rank the list's codes,
 and the best go on to exact reranking. A list is cut into blocks of bounded
-size, so that a list that holds a third of all rows is many tasks.
+size, so that a list that holds a third of all rows is many tasks. Equal unit
+vectors are indexed and searched once, as a group under its smallest id, and
+expanded to the group's smallest ids afterwards.
 """
 
 from __future__ import annotations
@@ -16,7 +18,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..operators.skew import join_hot
 from ..plans.tables import once
 from ..session import materialize
 
@@ -126,15 +130,25 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
     own = materialize(once(embeddings.select("id", "model_version", "vector").where(usable("vector") & F.col("model_version").isNotNull() & F.col("id").isNotNull())), "vectors")
     index = spark.sparkContext.broadcast(fit(own))
 
+    def units_of(frames):
+        for f in frames:
+            yield pd.DataFrame({"id": f["id"].to_numpy(), "model_version": f["model_version"], "unit": [x.tobytes() for x in _unit(f["vector"])]} if len(f) else {"id": [], "model_version": [], "unit": []})
+
+    units = own.mapInPandas(units_of, "id long, model_version string, unit binary")
+    units = materialize(units.withColumn("same", F.concat("unit", F.encode("model_version", "UTF-8"))), "units")
+    # a group's k + 1 smallest ids: one of them may be the one that asks
+    first = units.withColumn("n", F.row_number().over(Window.partitionBy("same").orderBy("id"))).where(F.col("n") <= k + 1)
+    groups = first.groupBy("same").agg(F.first("model_version").alias("model_version"), F.first("unit").alias("unit"), F.array_sort(F.collect_list("id")).alias("ids"))
+    groups = materialize(groups.select("same", F.get("ids", F.lit(0)).alias("id"), "model_version", "unit", "ids"), "groups")
+
     def assign(frames):
         for f in frames:
             for m, g in f.groupby("model_version", sort=False):
-                v = _unit(g["vector"])
-                cells, codes = index.value[m].encode(v)
-                yield pd.DataFrame({"id": g["id"].to_numpy(), "model_version": m, "cell": cells.astype("int32"), "codes": [c.tobytes() for c in codes], "unit": [x.tobytes() for x in v]})
+                cells, codes = index.value[m].encode(_units(g["unit"]))
+                yield pd.DataFrame({"id": g["id"].to_numpy(), "model_version": m, "cell": cells.astype("int32"), "codes": [c.tobytes() for c in codes], "unit": g["unit"].to_numpy()})
 
     # unit vectors travel as bytes: visits repeat them
-    rows = materialize(own.mapInPandas(assign, "id long, model_version string, cell int, codes binary, unit binary"), "index")
+    rows = materialize(groups.select("id", "model_version", "unit").mapInPandas(assign, "id long, model_version string, cell int, codes binary, unit binary"), "index")
     # the blocks of a list: as many as its size needs, drawn by hash
     sizes = rows.groupBy("model_version", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     members = rows.join(sizes, ["model_version", "cell"]).select("model_version", "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "codes", "unit")
@@ -179,7 +193,20 @@ def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
     hits = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(search, "id long, neighbour long, similarity double")
     pair = F.struct((-F.col("similarity")).alias("s"), "neighbour")
     top = hits.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(pair)), 1, k).alias("top"))
-    return top.select("id", F.posexplode("top").alias("at", "t")).select("id", F.col("t.neighbour").alias("neighbour"), (-F.col("t.s")).alias("similarity"), (F.col("at") + 1).alias("rank"))
+    others = top.select("id", F.explode("top").alias("t")).select("id", F.col("t.s").alias("s"), F.col("t.neighbour").alias("of")).join(groups.select(F.col("id").alias("of"), "ids"), "of").select("id", "s", "ids")
+
+    def own_group(frames):
+        for f in frames:
+            u = _units(f["unit"]).astype(np.float64)
+            yield pd.DataFrame({"id": f["id"].to_numpy(), "s": -np.einsum("nd,nd->n", u, u), "ids": f["ids"].to_numpy()})
+
+    within = groups.where(F.size("ids") > 1).select("id", "unit", "ids").mapInPandas(own_group, "id long, s double, ids array<long>")
+    each_id = others.unionByName(within).select("id", F.explode(F.transform("ids", lambda x: F.struct(F.col("s").alias("s"), x.alias("neighbour")))).alias("t"))
+    of_group = each_id.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("t")), 1, k + 1).alias("top"))
+    of_group = materialize(groups.select("same", "id").join(of_group, "id").select("same", "top"), "tops")
+    whole = join_hot(units.select("id", "same"), of_group, "same", "inner")
+    whole = whole.select("id", F.slice(F.filter("top", lambda t: t["neighbour"] != F.col("id")), 1, k).alias("top"))
+    return whole.select("id", F.posexplode("top").alias("at", "t")).select("id", F.col("t.neighbour").alias("neighbour"), (-F.col("t.s")).alias("similarity"), (F.col("at") + 1).alias("rank"))
 
 
 def mutual_pairs(found: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:

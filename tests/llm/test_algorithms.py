@@ -192,3 +192,16 @@ def test_a_hot_list_is_cut_into_blocks(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id bigint, model_version string, vector array<float>")
     out = neighbours.nearest(df)
     assert out.count() == 1500 and out.agg(F.min("similarity")).first()[0] > 0.99999
+
+
+def test_copies_give_the_smallest_ids(spark):
+    rng = np.random.default_rng(7)
+    ids = rng.permutation(4000) + 10
+    rows = [(int(i), "m", [0.25] * 32) for i in ids] + [(i, "m", rng.normal(size=32).tolist()) for i in range(10)]
+    found = neighbours.nearest(spark.createDataFrame(rows, "id bigint, model_version string, vector array<float>"))
+    got: dict[int, list] = {}
+    for r in found.orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append(r.neighbour)
+    assert len(got) == 4010
+    assert all(got[i] == [j for j in range(10, 16) if j != i][:5] for i in range(10, 4010))
+    assert {tuple(r) for r in neighbours.mutual_pairs(found).collect()} == {(i, j) for i in range(10, 16) for j in range(i + 1, 16)}

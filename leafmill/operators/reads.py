@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from .skew import join_hot
 
 
+def _score():
+    return F.when(~F.isnan("quality_score"), F.col("quality_score"))
+
+
 def page_statistics(pages: DataFrame) -> DataFrame:
-    """Per document: page_count, warning_count (status other than clean), average_quality."""
+    """Per document: page_count, warning_count (status other than clean), average_quality of the scores that aren't null or NaN."""
     suspect = F.when(F.coalesce("numeric_sanity_status", F.lit("clean")) != "clean", 1).otherwise(0)
-    return pages.groupBy("document_id").agg(F.count("*").alias("page_count"), F.sum(suspect).alias("warning_count"), F.coalesce(F.avg("quality_score"), F.lit(0.0)).alias("average_quality"))
+    return pages.groupBy("document_id").agg(F.count("*").alias("page_count"), F.sum(suspect).alias("warning_count"), F.coalesce(F.avg(_score()), F.lit(0.0)).alias("average_quality"))
 
 
 def _names():
@@ -67,8 +71,8 @@ def document_texts(pages: DataFrame) -> DataFrame:
 
 
 def structured_documents(documents: DataFrame, pages: DataFrame) -> DataFrame:
-    """(id, payload): a document with its pages as one JSON value."""
-    view = page_views(pages)
+    """(id, payload): a document with its pages as one JSON value. A score of NaN, which JSON lacks, is left out."""
+    view = page_views(pages).withColumn("quality_score", _score())
     fields = ["page_number", "id", "ocr_version", "extraction_method", "orientation_degrees", "dpi", "quality_score", "confidence", "text_content", "normalized_text_content", "numeric_sanity_status"]
     own = view.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("pages")).withColumnRenamed("document_id", "id")
     head = documents.select("id", F.struct("source_sha256", *_names(), "source_label", "source_url", "source_unit").alias("document"))

@@ -552,7 +552,8 @@ def document_texts(spark, folder):
 
 @query()
 def structured_documents(spark, folder):
-    return reads.structured_documents(*_tables(spark, folder))
+    """All pages, those with a score of NaN too."""
+    return reads.structured_documents(*(once(table(spark, folder, t)) for t in ("source_documents", "pages")))
 
 
 @query(f"SELECT p.id, coalesce(d.document_title, d.source_filename, 'Untitled') AS title FROM {_P} p LEFT JOIN {_D} d ON d.id = p.document_id WHERE NOT coalesce(isnan(p.quality_score), false)")

@@ -1,13 +1,16 @@
 """Problem 2: the k most similar vectors of every vector.
 
-An inverted file: coarse centroids by model version, fitted on a bounded sample;
-every vector is in the list of its nearest centroid, as a product-quantised
-residual. Every vector is also a query, and visits the nearest lists. There,
-distance tables of the exact query against the code words rank the list's codes,
-and the best go on to exact reranking. A list is cut into blocks of bounded
-size, so that a list that holds a third of all rows is many tasks. Equal unit
-vectors are indexed and searched once, as a group under its smallest id, and
-expanded to the group's smallest ids afterwards.
+An inverted file: coarse centroids by model version, fitted on a bounded sample
+in two levels. Every vector is in the list of its nearest centroid, as the
+product-quantised code of its residual; lists near each other make a region.
+Every vector is also a query: it travels once to each region that holds one of
+its lists, however many lists these are. There a table of the products of the
+exact query's parts with the code words is built, the codes of each visited list
+are looked up in it and added, and the best go on to exact reranking with the
+vectors that lie in the region. Regions of very many members or visitors are cut into a grid
+of blocks and shares. Equal unit vectors are searched once, under their smallest
+id: copies are taken together in each Arrow batch before anything is shuffled,
+and again where they meet.
 """
 
 from __future__ import annotations
@@ -15,42 +18,53 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..operators.skew import join_hot
-from ..plans.tables import once
 from ..session import materialize
 
 DIM, K, MIN_COSINE = 32, 5, 0.97
-#: Vectors of a model version that centroids and code words are fitted on: a hashed sample of about so many.
-FIT_ROWS = 20_000
-#: Lists that a query visits, and candidates of a visited block that are reranked exactly.
-PROBES, RERANK = 12, 32
-#: Vectors of a list, about, and at most in a block of it; centroids at most.
-LIST_ROWS, BLOCK_ROWS, MAX_LISTS = 400, 4096, 16_384
-#: Queries of a visited list that meet a block at a time, at most about.
-QUERY_ROWS = 16_384
+#: Vectors of a model version that the index is fitted on: a hashed sample of about so many, or so many for each list where that is more.
+FIT_ROWS, FIT_LIST = 20_000, 32
+#: Lists that a query visits at least, and for the cube root of the number of lists; candidates of a list, and of a region, that go on.
+PROBES, PROBE_ROOT, LIST_BEST, RERANK = 12, 2.1, 24, 48
+#: Vectors of a list at least, and of a region, about; members and visitors of one task, at most about.
+LIST_ROWS, REGION_ROWS, BLOCK_ROWS, QUERY_ROWS = 200, 16_384, 32_768, 65_536
 #: Parts of a residual, and code words for each.
-PARTS, WORDS = 16, 64
+PARTS, WORDS = 16, 32
+#: Queries that are searched at a time.
+CHUNK = 2048
+MEMBER, QUERY = 1, 2
 
 
-def usable(vector: str) -> Column:
-    """Vectors of DIM finite numbers, not all zero."""
+def usable(vector: str, dim: int = DIM) -> Column:
+    """Vectors of ``dim`` finite numbers, not all zero."""
     v = F.col(vector)
-    return F.coalesce((F.size(v) == DIM) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
+    return F.coalesce((F.size(v) == dim) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _unit(vectors) -> np.ndarray:
-    v = np.stack(vectors).astype(np.float64)
+def _unit(v: np.ndarray) -> np.ndarray:
+    v = v.astype(np.float64)
     v /= np.abs(v).max(1, keepdims=True)  # squares of any magnitude stay finite
-    return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    # adding 0 makes -0 a 0, so that equal vectors have equal bytes
+    return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32) + np.float32(0)
 
 
-def _units(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.float32).reshape(-1, DIM)
+def _rows(units: np.ndarray) -> np.ndarray:
+    """Each row's bytes as one value that can be sorted."""
+    return np.ascontiguousarray(units).view(np.dtype((np.void, units.shape[1] * 4))).ravel()
+
+
+def _mixed(units: np.ndarray) -> np.ndarray:
+    """A number for each row that depends on its bytes alone."""
+    words = np.ascontiguousarray(units).view(np.uint32).astype(np.uint64)
+    h = np.zeros(len(units), np.uint64)
+    for k in range(words.shape[1]):
+        h = (h ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(8)).astype(np.int64)
 
 
 def _nearest(v: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -70,143 +84,260 @@ def kmeans(v: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centroids
 
 
+def lists_of(rows: int) -> int:
+    """Lists for so many vectors: their root, so that lists and their members grow alike, but no fewer than LIST_ROWS in each."""
+    return max(1, math.ceil(min(math.sqrt(rows), rows / LIST_ROWS)))
+
+
 class Index:
-    """Centroids and code words of a model version."""
+    """Centroids with their regions, code words, and the grid of each region, of a model version."""
 
     def __init__(self, sample: np.ndarray, rows: int):
-        self.centroids = kmeans(sample, max(1, min(MAX_LISTS, math.ceil(rows / LIST_ROWS), len(sample) // 4 or 1)))
+        lists = max(1, min(lists_of(rows), len(sample) // 4 or 1))
+        tops = kmeans(sample, min(lists, math.ceil(rows / REGION_ROWS)))
+        at, parts = _nearest(sample, tops), []
+        for r in range(len(tops)):
+            own = sample[at == r]
+            parts.append(kmeans(own, max(1, round(lists * len(own) / len(sample)))) if len(own) else tops[r : r + 1])
+        self.centroids, self.region = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        self.half = (self.centroids**2).sum(1) / 2
+        self.n_probes = min(len(self.centroids), max(PROBES, math.ceil(PROBE_ROOT * len(self.centroids) ** (1 / 3))))
         rest = sample - self.centroids[_nearest(sample, self.centroids)]
         self.words = np.stack([kmeans(np.ascontiguousarray(p), WORDS) if len(p) >= WORDS else np.resize(p, (WORDS, p.shape[1])) for p in np.split(rest, PARTS, axis=1)])
+        self.blocks = self.shares = np.ones(len(parts), np.int64)
 
-    def encode(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = _nearest(v, self.centroids)
-        rest = v - self.centroids[at]
-        return at, np.stack([_nearest(np.ascontiguousarray(p), w) for p, w in zip(np.split(rest, PARTS, axis=1), self.words, strict=True)], axis=1).astype(np.uint8)
-
-    def probes(self, v: np.ndarray) -> np.ndarray:
-        n = min(PROBES, len(self.centroids))
-        scores = v @ self.centroids.T - (self.centroids**2).sum(1) / 2
-        return np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < len(self.centroids) else np.tile(np.arange(n), (len(v), 1))
-
-    def decode(self, cell: int, codes: np.ndarray) -> np.ndarray:
-        """The vectors of a list that codes stand for."""
-        return self.centroids[cell] + np.concatenate([w[codes[:, p]] for p, w in enumerate(self.words)], axis=1)
+    def cells(self, v: np.ndarray) -> np.ndarray:
+        return _nearest(v, self.centroids)
 
-    def approximate(self, q: np.ndarray, decoded: np.ndarray) -> np.ndarray:
-        """Inner products of exact queries with coded vectors.
+    def codes(self, v: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        rest = v - self.centroids[cells]
+        return np.stack([_nearest(np.ascontiguousarray(p), w) for p, w in zip(np.split(rest, PARTS, axis=1), self.words, strict=True)], axis=1)
 
-        A query's distance table holds the products of its parts with the code
-        words; what a code's entries add up to, over the parts, is the product
-        with the decoded vector, so that a block's tables are one product of
-        matrices instead of a gather for each part.
-        """
-        return q @ decoded.T
+    def probes(self, v: np.ndarray) -> np.ndarray:
+        """(queries, lists): whether a query visits a list."""
+        scores = v @ self.centroids.T - self.half
+        if self.n_probes == len(self.centroids):
+            return np.ones(scores.shape, bool)
+        least = -np.partition(-scores, self.n_probes - 1, axis=1)[:, self.n_probes - 1]
+        return scores >= least[:, None]
+
+    def visited(self, v: np.ndarray) -> np.ndarray:
+        """(queries, regions): whether a query visits a region."""
+        starts = np.flatnonzero(np.diff(self.region, prepend=-1))
+        return np.concatenate([np.logical_or.reduceat(self.probes(v[i : i + 4096]), starts, axis=1) for i in range(0, len(v), 4096)])
+
+    def tables(self, q: np.ndarray) -> np.ndarray:
+        """The asymmetric distance tables: (part, word, query), the products of each exact query's parts with the code words."""
+        return np.matmul(self.words, np.ascontiguousarray(q.reshape(len(q), PARTS, -1).transpose(1, 2, 0)))
+
+    def search(self, region: int, members: np.ndarray, cells: np.ndarray, queries: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, best): the places of the members of the visited lists with the greatest products, and these, exact; -1 where there are fewer."""
+        order = np.argsort(cells, kind="stable")
+        at, starts, counts = np.unique(cells[order], return_index=True, return_counts=True)
+        codes = np.ascontiguousarray(self.codes(members[order], cells[order]).T)
+        size = max(1, min(max(LIST_BEST, best + 1), int(counts.max())))
+        places, exact = np.full((len(queries), best), -1), np.full((len(queries), best), -np.inf)
+        # queries of one list together: lists then meet long runs of them
+        near = np.argsort((queries @ self.centroids[at].T - self.half[at]).argmax(1), kind="stable")
+        for i in range(0, len(queries), CHUNK):
+            mine = near[i : i + CHUNK]
+            q = queries[mine]
+            asks, offset = self.probes(q)[:, at], q @ self.centroids[at].T
+            slot = np.cumsum(asks, axis=1) - 1
+            width = int(asks.sum(1).max())
+            rough, found = np.full((len(q), max(width, 1) * size), -np.inf, np.float32), np.full((len(q), max(width, 1) * size), -1)
+            for c in range(len(at)):
+                who = np.flatnonzero(asks[:, c])
+                if not len(who):
+                    continue
+                table, n = self.tables(q[who]), min(size, counts[c])
+                code = codes[:, starts[c] : starts[c] + counts[c]]
+                score = np.take(table[0], code[0], axis=0)
+                for p in range(1, PARTS):
+                    score += np.take(table[p], code[p], axis=0)
+                score = np.ascontiguousarray(score.T) + offset[who, c][:, None]
+                top = np.argpartition(score, counts[c] - n, axis=1)[:, counts[c] - n :]
+                columns = slot[who, c][:, None] * size + np.arange(n)
+                rough[who[:, None], columns], found[who[:, None], columns] = np.take_along_axis(score, top, 1), starts[c] + top
+            if rough.shape[1] > max(RERANK, 3 * best):
+                keep = np.argpartition(-rough, max(RERANK, 3 * best) - 1, axis=1)[:, : max(RERANK, 3 * best)]
+                rough, found = np.take_along_axis(rough, keep, 1), np.take_along_axis(found, keep, 1)
+            pick = order[np.maximum(found, 0)]
+            s = np.where(found < 0, -np.inf, np.einsum("qd,qnd->qn", q.astype(np.float64), members[pick].astype(np.float64)))
+            # members lie in the order of their ids, so that ties go to the smaller
+            last = np.lexsort((pick, -s), axis=1)[:, :best]
+            s = np.take_along_axis(s, last, 1)
+            exact[mine, : s.shape[1]], places[mine, : s.shape[1]] = s, np.where(np.isfinite(s), np.take_along_axis(pick, last, 1), -1)
+        return places, exact
 
 
 def fit(vectors: DataFrame) -> dict[str, Index]:
-    """An index for each model version; the fitted sample is about FIT_ROWS vectors of each. Every row is indexed, whether it was in the sample or not."""
+    """An index for each model version, fitted on about FIT_ROWS of its vectors, or FIT_LIST for each list where that is more. Every row is indexed, whether it was in the sample or not."""
     counts = {r[0]: r[1] for r in vectors.groupBy("model_version").count().collect()}
-    rates = vectors.sparkSession.createDataFrame([(m, min(1.0, FIT_ROWS / n)) for m, n in counts.items()], "model_version string, rate double")
+    rates = vectors.sparkSession.createDataFrame([(m, min(1.0, max(FIT_ROWS, FIT_LIST * lists_of(n)) / n)) for m, n in counts.items()], "model_version string, rate double")
     part = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     rows = vectors.join(F.broadcast(rates), "model_version").where(part < F.col("rate")).select("model_version", "id", "vector").toPandas()
     out = {}
     for m, n in counts.items():
         own = rows[rows["model_version"] == m].sort_values("id")
         if len(own):
-            out[m] = Index(_unit(own["vector"]), n)
+            out[m] = Index(np.unique(_unit(np.stack(own["vector"])), axis=0), n)
     return out
 
 
-def nearest(embeddings: DataFrame, k: int = K) -> DataFrame:
+def _groups(batch: pa.RecordBatch, dim: int):
+    """(model version, ids, unit vectors, the group of each row, the first row of each group) by version: rows of a batch with equal unit vectors are a group; rows are in the order of their ids."""
+    models = batch.column("model_version").to_pylist()
+    ids, vectors = batch.column("id").to_numpy(), np.asarray(batch.column("vector").flatten()).reshape(-1, dim)
+    for m in sorted(set(models)):
+        at = np.flatnonzero(np.fromiter((x == m for x in models), bool, len(models)))
+        at = at[np.argsort(ids[at], kind="stable")]
+        units = _unit(vectors[at])
+        _, first, group = np.unique(_rows(units), return_index=True, return_inverse=True)
+        yield m, ids[at], units, group.ravel(), first
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows as binary values, without a copy of each."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(width)), pa.py_buffer(rows)])
+
+
+def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, kind))
+
+
+def plan(vectors: DataFrame, index: dict[str, Index], dim: int) -> None:
+    """Set the grid of each region by the number of its members and visitors; a region is a row or two, and regions are at most as many as lists."""
+    shared = vectors.sparkSession.sparkContext.broadcast(index)
+
+    def count(batches):
+        members, visits = {}, {}
+        for b in batches:
+            for m, _, units, _, first in _groups(b, dim):
+                own = shared.value[m]
+                n = len(own.blocks)
+                members[m] = members.get(m, 0) + np.bincount(own.region[own.cells(units[first])], minlength=n)
+                visits[m] = visits.get(m, 0) + own.visited(units[first]).sum(0)
+        for m, n in members.items():
+            yield pa.RecordBatch.from_pydict({"model_version": [m] * len(n), "region": pa.array(np.arange(len(n)), pa.int32()), "members": pa.array(n, pa.int64()), "visits": pa.array(visits[m], pa.int64())})
+
+    rows = vectors.mapInArrow(count, "model_version string, region int, members long, visits long")
+    for r in rows.groupBy("model_version", "region").agg(F.sum("members").alias("members"), F.sum("visits").alias("visits")).collect():
+        own = index[r["model_version"]]
+        own.blocks, own.shares = own.blocks.copy(), own.shares.copy()
+        own.blocks[r["region"]], own.shares[r["region"]] = max(1, -(-r["members"] // BLOCK_ROWS)), max(1, -(-r["visits"] // QUERY_ROWS))
+
+
+def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
     """(id, neighbour, similarity, rank): for each usable vector the ``k`` of its model version with the greatest cosine.
 
-    Vectors take part that have DIM finite numbers, not all zero, and a model
-    version; others have no row. A vector isn't its own neighbour, but an equal
-    vector of another id is one; ties go to the smaller id. A version of fewer
-    vectors gives fewer neighbours. Repeated ids count once; other columns are
-    ignored.
+    Vectors take part that have ``dim`` finite numbers, not all zero, and a
+    model version; others have no row. A vector isn't its own neighbour, but an
+    equal vector of another id is one; ties go to the smaller id. A version of
+    fewer vectors gives fewer neighbours. Repeated ids count once; other columns
+    are ignored.
     """
-    spark = embeddings.sparkSession
-    own = materialize(once(embeddings.select("id", "model_version", "vector").where(usable("vector") & F.col("model_version").isNotNull() & F.col("id").isNotNull())), "vectors")
-    index = spark.sparkContext.broadcast(fit(own))
-
-    def units_of(frames):
-        for f in frames:
-            yield pd.DataFrame({"id": f["id"].to_numpy(), "model_version": f["model_version"], "unit": [x.tobytes() for x in _unit(f["vector"])]} if len(f) else {"id": [], "model_version": [], "unit": []})
-
-    units = own.mapInPandas(units_of, "id long, model_version string, unit binary")
-    units = materialize(units.withColumn("same", F.concat("unit", F.encode("model_version", "UTF-8"))), "units")
-    # a group's k + 1 smallest ids: one of them may be the one that asks
-    first = units.withColumn("n", F.row_number().over(Window.partitionBy("same").orderBy("id"))).where(F.col("n") <= k + 1)
-    groups = first.groupBy("same").agg(F.first("model_version").alias("model_version"), F.first("unit").alias("unit"), F.array_sort(F.collect_list("id")).alias("ids"))
-    groups = materialize(groups.select("same", F.get("ids", F.lit(0)).alias("id"), "model_version", "unit", "ids"), "groups")
-
-    def assign(frames):
-        for f in frames:
-            for m, g in f.groupby("model_version", sort=False):
-                cells, codes = index.value[m].encode(_units(g["unit"]))
-                yield pd.DataFrame({"id": g["id"].to_numpy(), "model_version": m, "cell": cells.astype("int32"), "codes": [c.tobytes() for c in codes], "unit": g["unit"].to_numpy()})
-
-    # unit vectors travel as bytes: visits repeat them
-    rows = materialize(groups.select("id", "model_version", "unit").mapInPandas(assign, "id long, model_version string, cell int, codes binary, unit binary"), "index")
-    # the blocks of a list: as many as its size needs, drawn by hash
-    sizes = rows.groupBy("model_version", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    members = rows.join(sizes, ["model_version", "cell"]).select("model_version", "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "codes", "unit")
-
-    def visit(frames):
-        for f in frames:
-            for m, g in f.groupby("model_version", sort=False):
-                probes = index.value[m].probes(_units(g["unit"]))
-                at = np.repeat(np.arange(len(g)), probes.shape[1])
-                yield pd.DataFrame({"model_version": m, "cell": probes.ravel().astype("int32"), "id": g["id"].to_numpy()[at], "unit": g["unit"].to_numpy()[at]})
-
-    queries = rows.select("model_version", "id", "unit").mapInPandas(visit, "model_version string, cell int, id long, unit binary")
-    visits = materialize(queries, "visits")
-    asked_of = visits.groupBy("model_version", "cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("shares"))
-    grids = materialize(sizes.join(asked_of, ["model_version", "cell"]), "grids")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    queries = visits.join(grids, ["model_version", "cell"]).select("model_version", "cell", each("blocks").alias("block"), F.pmod(F.xxhash64("id"), F.col("shares")).cast("int").alias("share"), "id", "unit")
-    members = members.join(grids, ["model_version", "cell"]).select("model_version", "cell", "block", each("shares").alias("share"), "id", "codes", "unit")
-
-    def search(key, asked, held):
-        if not len(asked) or not len(held):
-            return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "similarity": pd.Series(dtype="float64")})
-        codes, units, ids = np.frombuffer(b"".join(held["codes"]), np.uint8).reshape(len(held), PARTS), _units(held["unit"]), held["id"].to_numpy()
-        out = []
-        decoded = index.value[key[0]].decode(int(key[1]), codes)
-        for i in range(0, len(asked), 1024):
-            q, qid = _units(asked["unit"].iloc[i : i + 1024]), asked["id"].to_numpy()[i : i + 1024]
-            rough = index.value[key[0]].approximate(q, decoded)
-            rough[qid[:, None] == ids[None, :]] = -np.inf
-            n = min(max(RERANK, 3 * k), len(ids))
-            best = np.argpartition(-rough, n - 1, axis=1)[:, :n] if n < len(ids) else np.tile(np.arange(n), (len(q), 1))
-            exact = np.einsum("qd,qnd->qn", q.astype(np.float64), units[best].astype(np.float64))
-            exact[qid[:, None] == ids[best]] = -np.inf
-            order = np.lexsort((ids[best], -exact), axis=1)[:, :k]
-            top = np.take_along_axis(best, order, 1)
-            s = np.take_along_axis(exact, order, 1)
-            out.append(pd.DataFrame({"id": np.repeat(qid, top.shape[1]), "neighbour": ids[top].ravel(), "similarity": s.ravel()}))
-        both = pd.concat(out)
-        return both[np.isfinite(both["similarity"])]
-
-    keys = ["model_version", "cell", "block", "share"]
-    hits = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(search, "id long, neighbour long, similarity double")
-    pair = F.struct((-F.col("similarity")).alias("s"), "neighbour")
-    top = hits.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(pair)), 1, k).alias("top"))
-    others = top.select("id", F.explode("top").alias("t")).select("id", F.col("t.s").alias("s"), F.col("t.neighbour").alias("of")).join(groups.select(F.col("id").alias("of"), "ids"), "of").select("id", "s", "ids")
-
-    def own_group(frames):
-        for f in frames:
-            u = _units(f["unit"]).astype(np.float64)
-            yield pd.DataFrame({"id": f["id"].to_numpy(), "s": -np.einsum("nd,nd->n", u, u), "ids": f["ids"].to_numpy()})
-
-    within = groups.where(F.size("ids") > 1).select("id", "unit", "ids").mapInPandas(own_group, "id long, s double, ids array<long>")
-    each_id = others.unionByName(within).select("id", F.explode(F.transform("ids", lambda x: F.struct(F.col("s").alias("s"), x.alias("neighbour")))).alias("t"))
-    of_group = each_id.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("t")), 1, k + 1).alias("top"))
-    of_group = materialize(groups.select("same", "id").join(of_group, "id").select("same", "top"), "tops")
-    whole = join_hot(units.select("id", "same"), of_group, "same", "inner")
+    own = embeddings.select("id", "model_version", "vector").where(usable("vector", dim) & F.col("model_version").isNotNull() & F.col("id").isNotNull())
+    own = own.select(F.col("id").cast("long").alias("id"), "model_version", F.col("vector").cast("array<float>").alias("vector"))
+    index = fit(own)
+    plan(own, index, dim)
+    shared = own.sparkSession.sparkContext.broadcast(index)
+
+    def send(batches):
+        """Each group of a batch to its home region as a member, and to the regions that it visits as a query."""
+        for b in batches:
+            for m, ids, units, group, first in _groups(b, dim):
+                ix = shared.value[m]
+                order = np.argsort(group, kind="stable")
+                ends = np.cumsum(np.bincount(group))
+                # a group's k + 1 smallest ids: one of them may be the one that asks
+                few = [np.unique(x)[: k + 1] for x in np.split(ids[order], ends[:-1])]
+                u = units[first]
+                home, mixed = ix.region[ix.cells(u)], _mixed(u)
+                group_at, region = np.nonzero(ix.visited(u) | (np.arange(len(ix.blocks)) == home[:, None]))
+                rows = []
+                for g, r in zip(group_at.tolist(), region.tolist(), strict=True):
+                    if r != home[g]:
+                        rows += [(g, r, y, mixed[g] % ix.shares[r], QUERY) for y in range(ix.blocks[r])]
+                        continue
+                    block, share = mixed[g] % ix.blocks[r], mixed[g] % ix.shares[r]
+                    rows += [(g, r, y, x, MEMBER * (y == block) + QUERY * (x == share)) for y in range(ix.blocks[r]) for x in range(ix.shares[r]) if y == block or x == share]
+                g, r, block, share, kind = np.array(rows, np.int64).T
+                mine = [few[x] if t & MEMBER else few[x][:1] for x, t in zip(g, kind, strict=True)]
+                yield pa.RecordBatch.from_pydict({
+                    "model_version": pa.array([m] * len(g), pa.string()), "region": pa.array(r, pa.int32()), "block": pa.array(block, pa.int32()), "share": pa.array(share, pa.int32()), "kind": pa.array(kind, pa.int32()),
+                    "ids": _lists(np.concatenate(mine), [len(x) for x in mine], pa.int64()), "unit": _binary(u[g]),
+                })
+
+    def search(key, table):
+        """Of each visiting group its nearest ids; of a group that came in several batches also the smallest id by which all of it is known."""
+        m, region = key[0].as_py(), key[1].as_py()
+        units = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float32).reshape(-1, dim)
+        kind, lists = table["kind"].to_numpy(), table["ids"].to_pylist()
+        least = np.array([x[0] for x in lists])
+        _, group = np.unique(_rows(units), return_inverse=True)
+        group = group.ravel()
+        rep = np.full(group.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(rep, group, least)
+        of_group: dict[int, set] = {}
+        for g, t, x in zip(group.tolist(), kind.tolist(), lists, strict=True):
+            if t & MEMBER:
+                of_group.setdefault(g, set()).update(x)
+        held = np.array(sorted(of_group, key=lambda g: rep[g]), np.int64)
+        first = np.zeros(len(rep), np.int64)
+        first[group[::-1]] = np.arange(len(group))[::-1]
+        asked = np.unique(group[(kind & QUERY) > 0])
+        if not len(held) or not len(asked):
+            return pa.Table.from_pylist([], schema=OUT)
+        ids = [sorted(of_group[g])[: k + 1] for g in held.tolist()]
+        members = units[first[held]]
+        ix = shared.value[m]
+        places, exact = ix.search(region, members, ix.cells(members), units[first[asked]], k + 1)
+        # a group's ids count for themselves
+        size = np.array([len(x) for x in ids])
+        if (size == 1).all():
+            known = places >= 0
+            near, sims = np.array([x[0] for x in ids])[places][known], exact[known]
+            counts = known.sum(1)
+        else:
+            near, sims, counts = [], [], []
+            for p, e in zip(places.tolist(), exact.tolist(), strict=True):
+                found = sorted((-s, i) for x, s in zip(p, e, strict=True) if x >= 0 for i in ids[x])[: k + 1]
+                near += [i for _, i in found]
+                sims += [-s for s, _ in found]
+                counts.append(len(found))
+        hits = pa.table({"id": pa.array(rep[asked]), "rep": pa.nulls(len(asked), pa.int64()), "near": _lists(np.array(near, np.int64), counts, pa.int64()), "sims": _lists(np.array(sims, np.float32), counts, pa.float32())}, schema=OUT)
+        other = np.flatnonzero((kind == MEMBER + QUERY) & (least != rep[group]))
+        known_as = pa.table({"id": pa.array(least[other], pa.int64()), "rep": pa.array(rep[group[other]], pa.int64()), "near": pa.nulls(len(other), OUT.field("near").type), "sims": pa.nulls(len(other), OUT.field("sims").type)}, schema=OUT)
+        return pa.concat_tables([hits, known_as])
+
+    keys = ["model_version", "region", "block", "share"]
+    sent = own.mapInArrow(send, "model_version string, region int, block int, share int, kind int, ids array<long>, unit binary")
+    hits = sent.groupBy(*keys).applyInArrow(search, "id long, rep long, near array<long>, sims array<float>")
+    by_id = hits.groupBy("id").agg(F.collect_list(F.when(F.col("near").isNotNull(), F.struct("near", "sims"))).alias("found"), F.min("rep").alias("rep"))
+    pairs = F.flatten(F.transform("found", lambda x: F.zip_with(x["near"], x["sims"], lambda n, s: F.struct((-s).alias("s"), n.alias("neighbour")))))
+    tops = materialize(by_id.select("id", "rep", F.slice(F.array_sort(pairs), 1, k + 1).alias("top")), "tops")
+
+    def copies(batches):
+        for b in batches:
+            for _, ids, _, group, first in _groups(b, dim):
+                at = np.flatnonzero(ids != ids[first][group])
+                yield pa.RecordBatch.from_pydict({"id": pa.array(ids[at]), "local": pa.array(ids[first][group[at]])})
+
+    same = materialize(own.mapInArrow(copies, "id long, local long").distinct(), "copies")
+    known_as = tops.where("rep IS NOT NULL").select(F.col("id").alias("local"), "rep")
+    of_rep = same.join(known_as, "local", "left").select("id", F.coalesce("rep", "local").alias("rep")).unionByName(known_as.select(F.col("local").alias("id"), "rep"))
+    of_rep = materialize(of_rep.where("id <> rep").distinct(), "of-rep")
+    whole = tops.where(F.size("top") > 0).select("id", "top")
+    if of_rep.limit(1).count():
+        whole = whole.unionByName(join_hot(of_rep, whole.withColumnRenamed("id", "rep"), "rep", "inner").select("id", "top"))
     whole = whole.select("id", F.slice(F.filter("top", lambda t: t["neighbour"] != F.col("id")), 1, k).alias("top"))
-    return whole.select("id", F.posexplode("top").alias("at", "t")).select("id", F.col("t.neighbour").alias("neighbour"), (-F.col("t.s")).alias("similarity"), (F.col("at") + 1).alias("rank"))
+    return whole.select("id", F.posexplode("top").alias("at", "t")).select("id", F.col("t.neighbour").alias("neighbour"), (-F.col("t.s")).cast("double").alias("similarity"), (F.col("at") + 1).alias("rank"))
+
+
+OUT = pa.schema([("id", pa.int64()), ("rep", pa.int64()), ("near", pa.list_(pa.int64())), ("sims", pa.list_(pa.float32()))])
 
 
 def mutual_pairs(found: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:

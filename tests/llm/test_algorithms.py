@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -185,6 +186,29 @@ def test_neighbours_against_brute_force(spark):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
+def test_recall_on_the_largest_test_table(spark):
+    folder = Path("/root/testdata/sf0.1")
+    if not folder.exists():
+        pytest.skip("no test data")
+    table = spark.read.parquet(f"{folder}/page_embeddings.parquet")
+    got: dict[int, set] = {}
+    for r in neighbours.nearest(table).select("id", "neighbour").collect():
+        got.setdefault(r.id, set()).add(r.neighbour)
+    rows = table.where(neighbours.usable("vector")).select("id", "model_version", "vector").dropDuplicates(["id"]).toPandas()
+    assert set(got) == set(rows["id"])
+    hits = asked = 0
+    for _, g in rows.groupby("model_version"):
+        ids, u = g["id"].to_numpy(), neighbours._unit(np.stack(g["vector"]))
+        for i in range(0, len(u), 1000):
+            s = u[i : i + 1000] @ u.T
+            s[np.arange(len(s)), i + np.arange(len(s))] = -9
+            true = ids[np.argpartition(-s, 5, axis=1)[:, :5]]
+            hits += sum(len(got[q] & set(t)) for q, t in zip(ids[i : i + 1000].tolist(), true.tolist(), strict=True))
+            asked += true.size
+    print("recall", hits / asked)
+    assert hits / asked >= 0.95
+
+
 def test_a_hot_list_is_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 50)
     monkeypatch.setattr(neighbours, "QUERY_ROWS", 60)

@@ -31,11 +31,13 @@ FIT_ROWS, FIT_LIST = 20_000, 32
 #: Lists that a query visits at least, and for the cube root of the number of lists; candidates of a list, and of a region, that go on.
 PROBES, PROBE_ROOT, LIST_BEST, RERANK = 12, 2.1, 24, 48
 #: Vectors of a list at least, and of a region, about; members and visitors of one task, at most about.
-LIST_ROWS, REGION_ROWS, BLOCK_ROWS, QUERY_ROWS = 200, 16_384, 32_768, 65_536
+LIST_ROWS, REGION_ROWS, BLOCK_ROWS, QUERY_ROWS = 200, 65_536, 131_072, 524_288
 #: Parts of a residual, and code words for each.
 PARTS, WORDS = 16, 32
 #: Queries that are searched at a time.
 CHUNK = 2048
+#: Rows of an Arrow batch that is sent.
+SENT_ROWS = 10_000
 MEMBER, QUERY = 1, 2
 
 
@@ -208,6 +210,12 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, kind))
 
 
+def _floats(column: pa.Array) -> np.ndarray:
+    """The floats of an Arrow column of binary values, as they lie."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.float32, (offsets[-1] - offsets[0]) // 4, int(offsets[0])) if len(column) else np.zeros(0, np.float32)
+
+
 def plan(vectors: DataFrame, index: dict[str, Index], dim: int) -> None:
     """Set the grid of each region by the number of its members and visitors; a region is a row or two, and regions are at most as many as lists."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)
@@ -250,58 +258,64 @@ def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
         for b in batches:
             for m, ids, units, group, first in _groups(b, dim):
                 ix = shared.value[m]
-                order = np.argsort(group, kind="stable")
-                ends = np.cumsum(np.bincount(group))
-                # a group's k + 1 smallest ids: one of them may be the one that asks
-                few = [np.unique(x)[: k + 1] for x in np.split(ids[order], ends[:-1])]
-                u = units[first]
+                u, sizes = units[first], np.bincount(group)
                 home, mixed = ix.region[ix.cells(u)], _mixed(u)
-                group_at, region = np.nonzero(ix.visited(u) | (np.arange(len(ix.blocks)) == home[:, None]))
-                rows = []
-                for g, r in zip(group_at.tolist(), region.tolist(), strict=True):
-                    if r != home[g]:
-                        rows += [(g, r, y, mixed[g] % ix.shares[r], QUERY) for y in range(ix.blocks[r])]
-                        continue
-                    block, share = mixed[g] % ix.blocks[r], mixed[g] % ix.shares[r]
-                    rows += [(g, r, y, x, MEMBER * (y == block) + QUERY * (x == share)) for y in range(ix.blocks[r]) for x in range(ix.shares[r]) if y == block or x == share]
-                g, r, block, share, kind = np.array(rows, np.int64).T
-                mine = [few[x] if t & MEMBER else few[x][:1] for x, t in zip(g, kind, strict=True)]
-                yield pa.RecordBatch.from_pydict({
-                    "model_version": pa.array([m] * len(g), pa.string()), "region": pa.array(r, pa.int32()), "block": pa.array(block, pa.int32()), "share": pa.array(share, pa.int32()), "kind": pa.array(kind, pa.int32()),
-                    "ids": _lists(np.concatenate(mine), [len(x) for x in mine], pa.int64()), "unit": _binary(u[g]),
-                })
+                g, r = np.nonzero(ix.visited(u) | (np.arange(len(ix.blocks)) == home[:, None]))
+                # a query goes to all blocks of a region, in its share; a member to all shares of its home region, in its block
+                blocks, block, share = ix.blocks[r], mixed[g] % ix.blocks[r], mixed[g] % ix.shares[r]
+                n = np.where(r == home[g], blocks + ix.shares[r] - 1, blocks)
+                at = np.repeat(np.arange(len(g)), n)
+                j = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                asks, over = j < blocks[at], j - blocks[at]
+                y, x = np.where(asks, j, block[at]), np.where(asks, share[at], over + (over >= share[at]))
+                kind = QUERY * asks + MEMBER * ((r == home[g])[at] & (y == block[at]))
+                g = g[at]
+                if (sizes == 1).all():
+                    few, counts = ids[first][g], np.ones(len(g), np.int64)
+                else:
+                    # a group's k + 1 smallest ids: one of them may be the one that asks
+                    own = [np.unique(x)[: k + 1] for x in np.split(ids[np.argsort(group, kind="stable")], np.cumsum(sizes)[:-1])]
+                    few = [own[i] if t & MEMBER else own[i][:1] for i, t in zip(g.tolist(), kind.tolist(), strict=True)]
+                    few, counts = np.concatenate(few), np.array([len(x) for x in few])
+                for i in range(0, len(g), SENT_ROWS):
+                    part, ends = slice(i, i + SENT_ROWS), np.concatenate([[0], np.cumsum(counts)])
+                    yield pa.RecordBatch.from_pydict({
+                        "model_version": pa.array([m] * len(g[part]), pa.string()), "region": pa.array(r[at][part], pa.int32()), "block": pa.array(y[part], pa.int32()), "share": pa.array(x[part], pa.int32()), "kind": pa.array(kind[part], pa.int32()),
+                        "ids": _lists(few[ends[i] : ends[min(i + SENT_ROWS, len(g))]], counts[part], pa.int64()), "unit": _binary(u[g[part]]),
+                    })
 
     def search(key, table):
         """Of each visiting group its nearest ids; of a group that came in several batches also the smallest id by which all of it is known."""
         m, region = key[0].as_py(), key[1].as_py()
-        units = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float32).reshape(-1, dim)
-        kind, lists = table["kind"].to_numpy(), table["ids"].to_pylist()
-        least = np.array([x[0] for x in lists])
+        units = np.concatenate([_floats(c) for c in table["unit"].chunks]).reshape(-1, dim)
+        kind, lists = table["kind"].to_numpy(), table["ids"].combine_chunks()
+        starts, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        least = values[starts[:-1]]
         _, group = np.unique(_rows(units), return_inverse=True)
         group = group.ravel()
         rep = np.full(group.max() + 1, np.iinfo(np.int64).max)
         np.minimum.at(rep, group, least)
-        of_group: dict[int, set] = {}
-        for g, t, x in zip(group.tolist(), kind.tolist(), lists, strict=True):
-            if t & MEMBER:
-                of_group.setdefault(g, set()).update(x)
-        held = np.array(sorted(of_group, key=lambda g: rep[g]), np.int64)
+        member = np.flatnonzero(kind & MEMBER)
+        held = np.unique(group[member])
+        held = held[np.argsort(rep[held], kind="stable")]
         first = np.zeros(len(rep), np.int64)
         first[group[::-1]] = np.arange(len(group))[::-1]
         asked = np.unique(group[(kind & QUERY) > 0])
         if not len(held) or not len(asked):
             return pa.Table.from_pylist([], schema=OUT)
-        ids = [sorted(of_group[g])[: k + 1] for g in held.tolist()]
         members = units[first[held]]
         ix = shared.value[m]
         places, exact = ix.search(region, members, ix.cells(members), units[first[asked]], k + 1)
-        # a group's ids count for themselves
-        size = np.array([len(x) for x in ids])
-        if (size == 1).all():
+        if len(held) == len(member) and (np.diff(starts)[member] == 1).all():
             known = places >= 0
-            near, sims = np.array([x[0] for x in ids])[places][known], exact[known]
+            near, sims = rep[held][places][known], exact[known]
             counts = known.sum(1)
         else:
+            # a group's ids count for themselves
+            of_group: dict[int, set] = {}
+            for g, a, b in zip(group[member].tolist(), starts[member].tolist(), starts[member + 1].tolist(), strict=True):
+                of_group.setdefault(g, set()).update(values[a:b].tolist())
+            ids = [sorted(of_group[g])[: k + 1] for g in held.tolist()]
             near, sims, counts = [], [], []
             for p, e in zip(places.tolist(), exact.tolist(), strict=True):
                 found = sorted((-s, i) for x, s in zip(p, e, strict=True) if x >= 0 for i in ids[x])[: k + 1]

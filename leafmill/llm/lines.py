@@ -3,9 +3,9 @@
 Lines are compared by their letters and digits. For each line and source the
 number of documents inside is held against the number outside by a
 log-likelihood ratio, with control of the false-discovery rate over all lines
-tested, and reported. The stated rule alone decides which lines are removed:
-those in enough of the source's documents, however common they are outside;
-pages are put together again by position.
+tested. A line is removed if it is significantly more frequent inside than
+outside, and in excess by the stated rule; a line as common outside stays.
+Pages are put together again by position.
 """
 
 from __future__ import annotations
@@ -70,17 +70,21 @@ def repeated_lines(keyed: DataFrame, documents: DataFrame) -> DataFrame:
     A source's size is its number of documents, whether they have pages or
     not. ``excess`` is the stated rule, MIN_DOCUMENTS and MIN_PERCENT of the
     source's documents; ``significant`` that the line is more frequent inside
-    than outside, after control of false discoveries. Documents without a
-    label count as outside of every source.
+    than outside, after control of false discoveries. Outside are the documents
+    of other sources; ``all_docs`` are those of any source. A document without a
+    label may be of any source, and is neither. Where there is no other source,
+    nothing is held against this one, and the rule decides.
     """
     labels = once(documents.select("id", "source_label")).select(F.col("id").alias("document_id"), source_key().alias("source"))
     sizes = labels.where("source IS NOT NULL").groupBy("source").agg(F.count("*").alias("n_docs"))
-    n_all = labels.count()
+    n_all = labels.where("source IS NOT NULL").count()
     pairs = keyed.select("key", "document_id").where("document_id IS NOT NULL").distinct()
     pairs = materialize(pairs, "line-documents")
-    frequent = pairs.groupBy("key").agg(F.count("*").alias("all_docs")).where(F.col("all_docs") >= MIN_DOCUMENTS)
-    inside = join_hot(materialize(pairs.join(frequent, "key"), "frequent"), labels, "document_id").where("source IS NOT NULL").groupBy("source", "key").agg(F.count("*").alias("in_docs"), F.first("all_docs").alias("all_docs"))
-    tested = inside.where(F.col("in_docs") >= MIN_DOCUMENTS).join(sizes, "source")
+    frequent = pairs.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCUMENTS).select("key")
+    inside = join_hot(materialize(pairs.join(frequent, "key"), "frequent"), labels, "document_id").where("source IS NOT NULL").groupBy("source", "key").agg(F.count("*").alias("in_docs"))
+    inside = materialize(inside, "inside")
+    known = inside.groupBy("key").agg(F.sum("in_docs").alias("all_docs"))
+    tested = inside.where(F.col("in_docs") >= MIN_DOCUMENTS).join(known, "key").join(sizes, "source").select("source", "key", "in_docs", "n_docs", "all_docs")
     outside = F.col("all_docs") - F.col("in_docs")
     ratio = likelihood_ratio(F.col("in_docs"), F.col("n_docs"), outside, F.lit(n_all) - F.col("n_docs"))
     tested = materialize(tested.withColumn("ratio", ratio), "tested")
@@ -98,7 +102,7 @@ def lines_to_remove(pages: DataFrame, documents: DataFrame) -> tuple[DataFrame,
     """
     keyed = materialize(keyed_lines(pages), "lines")
     repeated = materialize(repeated_lines(keyed, documents), "repeated")
-    chosen = repeated.where("excess").select("source", "key")
+    chosen = repeated.where("significant AND excess").select("source", "key")
     candidates = materialize(keyed.join(chosen.select("key").distinct(), "key", "left_semi"), "candidates")
     labels = once(documents.select("id", "source_label")).select(F.col("id").alias("document_id"), source_key().alias("source"))
     found = join_hot(candidates, labels, "document_id", "inner").join(chosen, ["source", "key"], "left_semi")

@@ -125,14 +125,25 @@ def test_repeated_lines(spark):
     assert clean[100].text == "" and clean[103].text is None and clean[104].text == "" and clean[101].n_removed == 0 and len(clean) == 65
 
 
-def test_lines_common_to_all_sources_are_not_significant(spark):
+def test_lines_common_to_all_sources_stay(spark):
     common, own = "This notice stands in documents of all sources alike", "This notice stands in documents of the harbour only"
     rows = [(i, i, f"{common if i % 10 < 3 else 'x'}\n{own if i < 30 else 'y'}") for i in range(200)]
     documents = spark.createDataFrame([(i, "harbour" if i < 100 else "mill") for i in range(200)], "id bigint, source_label string")
     found, repeated = lines.lines_to_remove(pages(spark, rows), documents)
     assert sorted((r.source, r.in_docs, r.all_docs, r.ratio > 0, r.significant, r.excess) for r in repeated.collect()) == [("harbour", 30, 30, True, True, True), ("harbour", 30, 60, False, False, True), ("mill", 30, 60, False, False, True)]
-    # the stated rule decides
-    assert {tuple(r) for r in found.collect()} == {(i, 1) for i in range(200) if i % 10 < 3} | {(i, 2) for i in range(30)}
+    assert {tuple(r) for r in found.collect()} == {(i, 2) for i in range(30)}
+
+
+def test_a_line_commoner_outside_stays(spark):
+    line = "This notice is commoner in documents of the mill than in the harbour's"
+    rows = [(i, i, line if i < 10 or 100 <= i < 180 else "x") for i in range(200)]
+    documents = spark.createDataFrame([(i, "harbour" if i < 100 else "mill") for i in range(200)], "id bigint, source_label string")
+    found, repeated = lines.lines_to_remove(pages(spark, rows), documents)
+    assert {(r.source, r.significant, r.excess) for r in repeated.collect()} == {("harbour", False, True), ("mill", True, True)}
+    assert {r.page_id for r in found.collect()} == set(range(100, 180))
+    # without any document outside, the rule decides
+    alone = documents.where("id < 100")
+    assert {r.page_id for r in lines.lines_to_remove(pages(spark, rows[:100]), alone)[0].collect()} == set(range(10))
 
 
 def test_repeated_lines_of_empty_tables(spark):

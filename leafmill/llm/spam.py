@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import join_hot
 from ..session import materialize
 
 #: Characters of a block, about: long texts are cut into equal blocks, all of which count.
@@ -30,6 +31,8 @@ FLAGGED, EXTREME = 0.8, 0.52
 MAX_SENTENCES, MAX_FIGURES = 2.0, 9.0
 #: Texts that a class of language and length, or of length alone, must have for a usual size of its own.
 MIN_CLASS = 30
+#: Classes of language and length up to which their usual sizes are broadcast; of more, only the hot ones are.
+BROADCAST_CLASSES = 10_000
 #: The usual size where a corpus has too few texts of a length: that of running text, by the doublings of its length over 64 characters.
 USUAL, USUAL_FALL, USUAL_LEAST = 0.863, 0.085, 0.46
 
@@ -95,11 +98,15 @@ def keyword_spam(documents: DataFrame) -> DataFrame:
     measured = materialize(own.mapInPandas(_measure, "doc_id long, lang string, class int, part double, block_chars int, chars int, sentences double, figures double, links double"), "measures")
     usual = lambda *by: measured.where("block_chars > 0").groupBy(*by).agg(F.percentile_approx("part", 0.5, 1000).alias("usual"), F.count("*").alias("n"))
     by_length = usual("class").where(F.col("n") >= MIN_CLASS).select("class", F.col("usual").alias("by_length"))
-    by_both = usual("lang", "class").where(F.col("n") >= MIN_CLASS).select("lang", "class", F.col("usual").alias("by_both"))
-    # a class is half a doubling of a block's length, so there are at most 23; labels are joined by a shuffle if they were many
+    key = F.concat_ws(" ", "class", "lang").alias("of")
+    by_both = materialize(usual("lang", "class").where(F.col("n") >= MIN_CLASS).select(key, F.col("usual").alias("by_both")), "usual")
+    # a class is half a doubling of a block's length, so there are at most 23; labels may be any
+    few = by_both.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
+    own = measured.select("*", key)
+    joined = own.join(F.broadcast(by_both), "of", "left") if few else join_hot(own, by_both, "of")
     other = F.greatest(F.lit(USUAL_LEAST), F.lit(USUAL) - USUAL_FALL * (F.col("class") / 2 - 6))
     z = F.when(F.col("block_chars") > 0, F.col("part") / F.coalesce("by_both", "by_length", other)).otherwise(1.0)
-    scored = measured.join(F.broadcast(by_length), "class", "left").join(by_both, ["lang", "class"], "left").withColumn("redundancy", z)
+    scored = joined.join(F.broadcast(by_length), "class", "left").withColumn("redundancy", z)
     sure = F.col("redundancy") < EXTREME
     confirmed = (F.col("redundancy") < FLAGGED) & (F.col("sentences") < MAX_SENTENCES) & (F.col("figures") < MAX_FIGURES)
     return scored.select("doc_id", "redundancy", "sentences", "figures", "links", (sure | confirmed).alias("spam"))

@@ -27,11 +27,13 @@ from ..session import materialize
 
 DIM, K, MIN_COSINE = 32, 5, 0.97
 #: Vectors of a model version that the index is fitted on: a hashed sample of about so many, or so many for each list where that is more.
-FIT_ROWS, FIT_LIST = 20_000, 32
-#: Lists that a query visits at least, and for the cube root of the number of lists; candidates of a list, and of a region, that go on.
-PROBES, PROBE_ROOT, LIST_BEST, RERANK = 12, 2.1, 24, 48
+FIT_ROWS, FIT_LIST = 20_000, 8
+#: Lists that a query visits at least, and for the cube root of the number of lists, in the so many nearest regions.
+PROBES, PROBE_ROOT, REGIONS = 24, 1.6, 4
+#: Candidates of a list, and of a region, that go on.
+LIST_BEST, RERANK = 24, 48
 #: Vectors of a list at least, and of a region, about; members and visitors of one task, at most about.
-LIST_ROWS, REGION_ROWS, BLOCK_ROWS, QUERY_ROWS = 200, 65_536, 131_072, 524_288
+LIST_ROWS, REGION_ROWS, BLOCK_ROWS, QUERY_ROWS = 50, 65_536, 131_072, 524_288
 #: Parts of a residual, and code words for each.
 PARTS, WORDS = 16, 32
 #: Queries that are searched at a time.
@@ -54,19 +56,22 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32) + np.float32(0)
 
 
-def _rows(units: np.ndarray) -> np.ndarray:
-    """Each row's bytes as one value that can be sorted."""
-    return np.ascontiguousarray(units).view(np.dtype((np.void, units.shape[1] * 4))).ravel()
-
-
 def _mixed(units: np.ndarray) -> np.ndarray:
-    """A number for each row that depends on its bytes alone."""
-    words = np.ascontiguousarray(units).view(np.uint32).astype(np.uint64)
+    """A number from 0 for each row that depends on its bytes alone."""
+    words = np.ascontiguousarray(units).view(np.uint32)
     h = np.zeros(len(units), np.uint64)
     for k in range(words.shape[1]):
         h = (h ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return (h >> np.uint64(8)).astype(np.int64)
+    return (h >> np.uint64(1)).astype(np.int64)
+
+
+def _same(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each set of equal rows, and the set of each row."""
+    _, first, group = np.unique(_mixed(units), return_index=True, return_inverse=True)
+    if len(first) < len(units) and (units[first[group]] != units).any():  # one number for different rows
+        _, first, group = np.unique(units, axis=0, return_index=True, return_inverse=True)
+    return first, group.ravel()
 
 
 def _nearest(v: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -87,8 +92,8 @@ def kmeans(v: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 
 def lists_of(rows: int) -> int:
-    """Lists for so many vectors: their root, so that lists and their members grow alike, but no fewer than LIST_ROWS in each."""
-    return max(1, math.ceil(min(math.sqrt(rows), rows / LIST_ROWS)))
+    """Lists for so many vectors: four times their root, so that lists and their members grow alike, but no fewer than LIST_ROWS in each."""
+    return max(1, math.ceil(min(4 * math.sqrt(rows), rows / LIST_ROWS)))
 
 
 class Index:
@@ -102,7 +107,7 @@ class Index:
             own = sample[at == r]
             parts.append(kmeans(own, max(1, round(lists * len(own) / len(sample)))) if len(own) else tops[r : r + 1])
         self.centroids, self.region = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        self.half = (self.centroids**2).sum(1) / 2
+        self.half, self.starts = (self.centroids**2).sum(1) / 2, np.flatnonzero(np.diff(self.region, prepend=-1))
         self.n_probes = min(len(self.centroids), max(PROBES, math.ceil(PROBE_ROOT * len(self.centroids) ** (1 / 3))))
         rest = sample - self.centroids[_nearest(sample, self.centroids)]
         self.words = np.stack([kmeans(np.ascontiguousarray(p), WORDS) if len(p) >= WORDS else np.resize(p, (WORDS, p.shape[1])) for p in np.split(rest, PARTS, axis=1)])
@@ -116,17 +121,20 @@ class Index:
         return np.stack([_nearest(np.ascontiguousarray(p), w) for p, w in zip(np.split(rest, PARTS, axis=1), self.words, strict=True)], axis=1)
 
     def probes(self, v: np.ndarray) -> np.ndarray:
-        """(queries, lists): whether a query visits a list."""
+        """(queries, lists): whether a query visits a list. It is among the nearest of those in the nearest regions."""
         scores = v @ self.centroids.T - self.half
-        if self.n_probes == len(self.centroids):
-            return np.ones(scores.shape, bool)
-        least = -np.partition(-scores, self.n_probes - 1, axis=1)[:, self.n_probes - 1]
-        return scores >= least[:, None]
+        if len(self.blocks) > REGIONS:
+            best = np.maximum.reduceat(scores, self.starts, axis=1)
+            least = -np.partition(-best, REGIONS - 1, axis=1)[:, REGIONS - 1]
+            scores[~(best >= least[:, None])[:, self.region]] = -np.inf
+        if self.n_probes < len(self.centroids):
+            least = -np.partition(-scores, self.n_probes - 1, axis=1)[:, self.n_probes - 1]
+            return (scores >= least[:, None]) & (scores > -np.inf)
+        return scores > -np.inf
 
     def visited(self, v: np.ndarray) -> np.ndarray:
         """(queries, regions): whether a query visits a region."""
-        starts = np.flatnonzero(np.diff(self.region, prepend=-1))
-        return np.concatenate([np.logical_or.reduceat(self.probes(v[i : i + 4096]), starts, axis=1) for i in range(0, len(v), 4096)])
+        return np.concatenate([np.logical_or.reduceat(self.probes(v[i : i + 4096]), self.starts, axis=1) for i in range(0, len(v), 4096)])
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """The asymmetric distance tables: (part, word, query), the products of each exact query's parts with the code words."""
@@ -195,8 +203,8 @@ def _groups(batch: pa.RecordBatch, dim: int):
         at = np.flatnonzero(np.fromiter((x == m for x in models), bool, len(models)))
         at = at[np.argsort(ids[at], kind="stable")]
         units = _unit(vectors[at])
-        _, first, group = np.unique(_rows(units), return_index=True, return_inverse=True)
-        yield m, ids[at], units, group.ravel(), first
+        first, group = _same(units)
+        yield m, ids[at], units, group, first
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -291,15 +299,12 @@ def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
         kind, lists = table["kind"].to_numpy(), table["ids"].combine_chunks()
         starts, values = lists.offsets.to_numpy(), lists.values.to_numpy()
         least = values[starts[:-1]]
-        _, group = np.unique(_rows(units), return_inverse=True)
-        group = group.ravel()
-        rep = np.full(group.max() + 1, np.iinfo(np.int64).max)
+        first, group = _same(units)
+        rep = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(rep, group, least)
         member = np.flatnonzero(kind & MEMBER)
         held = np.unique(group[member])
         held = held[np.argsort(rep[held], kind="stable")]
-        first = np.zeros(len(rep), np.int64)
-        first[group[::-1]] = np.arange(len(group))[::-1]
         asked = np.unique(group[(kind & QUERY) > 0])
         if not len(held) or not len(asked):
             return pa.Table.from_pylist([], schema=OUT)

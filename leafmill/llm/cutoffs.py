@@ -8,8 +8,6 @@ from the root; within the leaf the distinct scores settle the exact cutoff.
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +16,7 @@ from pyspark.sql.window import Window
 
 from ..operators.skew import join_hot
 from ..plans.tables import once, source_key
-from ..session import materialize, scratch_dir
+from ..session import materialize, new_path
 
 #: Bits of a coded score. A source has at most 2 ** (LEVELS + 1) nodes, whatever its size.
 LEVELS = 14
@@ -36,10 +34,10 @@ def leaf(score: str) -> Column:
 
 
 class CountTree:
-    """Node counts in a folder; every batch appends its own."""
+    """Node counts in a folder; every batch appends its own. A folder that isn't given is scratch space."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path = spark, path or f"{scratch_dir(spark)}/leafmill/tree-{uuid.uuid4().hex}"
+        self.spark, self.path = spark, path or new_path(spark, "tree")
 
     def add(self, scores: DataFrame) -> CountTree:
         """Add a batch of (source, score). Its leaves are counted before anything is shuffled, and the upper nodes come from the leaves."""

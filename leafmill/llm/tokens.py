@@ -5,7 +5,8 @@ position, the number of the pre-token in the block's own list of distinct
 pre-tokens. Only those lists go through the global shuffle by word, where each
 distinct word is encoded once; the ids come back by block and are put in place
 by position. So the shuffles carry distinct words of blocks, not the running
-text, and a word as frequent as "the" counts once a block.
+text, and a word as frequent as "the" counts once a block; where there are very
+many blocks, a word is salted by groups of blocks and encoded once for each.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, spread
+from ..session import materialize, spread, stored_bytes
 
 #: Folder of the vocabulary files; they are read there by driver and executors.
 TOKENIZERS = "/opt/tokenizers"
 #: Characters of text in a block, about; a longer document makes a block of its own.
 BLOCK_CHARS = 4_000_000
+#: Blocks whose words meet under one salt: a word has at most so many rows in a partition.
+SALT_BLOCKS = 4096
 #: GPT-2's published pre-tokenizer pattern; white space and contractions are those of the vocabulary file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -57,30 +60,33 @@ def _blocks(batches):
     """Pre-tokenize; a row for each block of documents."""
     find, part, number = pre_tokenizer().findall, TaskContext.get().partitionId(), 0
 
-    def block(ids, texts):
+    def block(docs, texts):
         nonlocal number
         found = [find(t) for t in texts]
         words = pa.array(list(chain.from_iterable(found)), pa.string()).dictionary_encode()
+        docs = pa.concat_arrays(docs)
         number += 1
         return pa.RecordBatch.from_pydict({
             "block": pa.array([(part << 33) + number], pa.int64()),
-            "doc_ids": pa.array([ids], pa.list_(pa.int64())),
+            "docs": pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
             "lengths": pa.array([[len(x) for x in found]], pa.list_(pa.int32())),
             "codes": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.indices.cast(pa.int32())),
             "words": pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary),
         })
 
-    ids, texts, chars = [], [], 0
+    docs, texts, chars = [], [], 0
     for batch in batches:
-        for i, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            ids.append(i)
+        start = 0
+        for i, t in enumerate(batch["text"].to_pylist()):
             texts.append(t or "")
             chars += len(texts[-1])
             if chars >= BLOCK_CHARS:
-                yield block(ids, texts)
-                ids, texts, chars = [], [], 0
-    if ids:
-        yield block(ids, texts)
+                yield block([*docs, batch["doc"].slice(start, i + 1 - start)], texts)
+                docs, texts, chars, start = [], [], 0, i + 1
+        if start < batch.num_rows:
+            docs.append(batch["doc"].slice(start))
+    if texts:
+        yield block(docs, texts)
 
 
 def _encode(vocabulary: str, sizes_only: bool):
@@ -109,47 +115,47 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
 
 
-def _reassemble(batches):
-    """Put the ids of the words in their places and give each document its own."""
+def _placed(batches):
+    """For each block its documents, the ends of their words, the numbers of these, and their places among the block's pairs."""
     for batch in batches:
         for r in range(batch.num_rows):
             one = batch.slice(r, 1)
-            docs, lengths, codes = (one[c].flatten().to_numpy() for c in ("doc_ids", "lengths", "codes"))
-            pairs = one["pairs"].flatten()
-            at, ids = pairs.field("at").to_numpy(), pairs.field("ids")
-            order = np.empty(len(at), np.int64)
-            order[at] = np.arange(len(at))
-            out = ids.take(pa.array(order[codes]))
-            starts = np.concatenate([[0], np.cumsum(lengths)])
-            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(out).to_numpy())])
-            offsets = pa.array(ends[starts], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.ListArray.from_arrays(offsets, out.flatten())], ["doc_id", "ids"])
+            docs, pairs = one["docs"].flatten(), one["pairs"].flatten()
+            lengths, codes = (one[c].flatten().to_numpy() for c in ("lengths", "codes"))
+            at = pairs.field("at").to_numpy()
+            place = np.empty(len(at), np.int64)
+            place[at] = np.arange(len(at))
+            yield docs, np.concatenate([[0], np.cumsum(lengths)]), place[codes], pairs.field("ids")
+
+
+def _reassemble(batches):
+    """Put the ids of the words in their places and give each document its own."""
+    for docs, ends, place, ids in _placed(batches):
+        out = ids.take(pa.array(place))
+        tokens = np.concatenate([[0], np.cumsum(pc.list_value_length(out).to_numpy())])
+        offsets = pa.array(tokens[ends], pa.int32())
+        yield pa.RecordBatch.from_arrays([docs, pa.ListArray.from_arrays(offsets, out.flatten())], ["doc", "result"])
 
 
 def _sum_up(batches):
-    for batch in batches:
-        for r in range(batch.num_rows):
-            one = batch.slice(r, 1)
-            docs, lengths, codes = (one[c].flatten().to_numpy() for c in ("doc_ids", "lengths", "codes"))
-            pairs = one["pairs"].flatten()
-            size = np.empty(len(pairs), np.int64)
-            size[pairs.field("at").to_numpy()] = pairs.field("ids").to_numpy()
-            total = np.concatenate([[0], np.cumsum(size[codes])])
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(total[ends[1:]] - total[ends[:-1]])], ["doc_id", "n_tokens"])
-
-
-def _by_words(documents: DataFrame, vocabulary: str, sizes_only: bool) -> DataFrame:
-    blocks = materialize(
-        documents.select("doc_id", "text").mapInArrow(_blocks, "block long, doc_ids array<long>, lengths array<int>, codes array<int>, words array<string>"),
-        "pretokens",
-    )
-    words = spread(blocks.select("block", F.posexplode("words").alias("at", "word")), "word").sortWithinPartitions("word")
-    ids = words.mapInArrow(_encode(vocabulary, sizes_only), f"block long, at int, ids {'int' if sizes_only else 'array<int>'}")
+    for docs, ends, place, sizes in _placed(batches):
+        total = np.concatenate([[0], np.cumsum(sizes.to_numpy()[place], dtype=np.int64)])
+        yield pa.RecordBatch.from_arrays([docs, pa.array(total[ends[1:]] - total[ends[:-1]])], ["doc", "result"])
+
+
+def _by_words(documents: DataFrame, columns: list[str], vocabulary: str, sizes_only: bool) -> DataFrame:
+    """(doc, result): each row's ``columns`` as a struct, and its ids or their number."""
+    own = documents.select(F.struct(*columns).alias("doc"), "text")
+    doc = own.schema["doc"].dataType.simpleString()
+    blocks = materialize(own.mapInArrow(_blocks, f"block long, docs array<{doc}>, lengths array<int>, codes array<int>, words array<string>"), "pretokens")
+    salts = max(1, -(-blocks.count() // SALT_BLOCKS))
+    words = blocks.select("block", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), F.posexplode("words").alias("at", "word"))
+    words = spread(words, "word", "salt", size=stored_bytes(blocks)).sortWithinPartitions("word")
+    ids = words.select("block", "at", "word").mapInArrow(_encode(vocabulary, sizes_only), f"block long, at int, ids {'int' if sizes_only else 'array<int>'}")
     pairs = ids.groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("pairs"))
     # a block without any word has no pairs
-    rows = blocks.select("block", "doc_ids", "lengths", "codes").join(pairs, "block", "left").withColumn("pairs", F.coalesce("pairs", F.array().cast(pairs.schema["pairs"].dataType)))
-    return rows.drop("block").mapInArrow(_sum_up, "doc_id long, n_tokens long") if sizes_only else rows.drop("block").mapInArrow(_reassemble, "doc_id long, ids array<int>")
+    rows = blocks.select("block", "docs", "lengths", "codes").join(pairs, "block", "left").withColumn("pairs", F.coalesce("pairs", F.array().cast(pairs.schema["pairs"].dataType)))
+    return rows.drop("block").mapInArrow(_sum_up if sizes_only else _reassemble, f"doc {doc}, result {'long' if sizes_only else 'array<int>'}")
 
 
 def encode_corpus(documents: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
@@ -160,12 +166,12 @@ def encode_corpus(documents: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bp
     empty list; repeated rows come out as often as they go in; a null doc_id
     stays null; an empty table gives an empty one.
     """
-    return _by_words(documents, vocabulary, False)
+    return _by_words(documents, ["doc_id"], vocabulary, False).select("doc.doc_id", F.col("result").alias("ids"))
 
 
-def token_counts(documents: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
-    """(doc_id, n_tokens): the lengths of what ``encode_corpus`` gives, without moving the ids."""
-    return _by_words(documents, vocabulary, True)
+def token_counts(documents: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken", columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``columns`` of every row and n_tokens: the lengths of what ``encode_corpus`` gives, without moving the ids. Rows are never joined by an id."""
+    return _by_words(documents, list(columns), vocabulary, True).select("doc.*", F.col("result").alias("n_tokens"))
 
 
 def token_bytes(spark: SparkSession, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
@@ -182,6 +188,8 @@ def decode_corpus(encoded: DataFrame, vocabulary: str = f"{TOKENIZERS}/byte_bpe_
     documents are put together by a row number of their own. Ids that the
     vocabulary doesn't have are an error.
     """
+    # written once: the row's number must stay what it is if a task runs again
+    encoded = materialize(encoded.select("doc_id", "ids"), "encoded")
     rows = encoded.select("doc_id", "ids", F.monotonically_increasing_id().alias("row"))
     # each document's ids are packed with their places; explode_outer keeps empty lists
     long = rows.select("row", "doc_id", F.col("ids").isNull().alias("none"), F.posexplode_outer("ids").alias("at", "token"))

@@ -2,9 +2,12 @@
 
 One character model a language is fitted on a bounded sample of the pages whose
 label names just one language. Labels may be wrong, so the sample's segments
-are judged by the models, and those on which label and models agree are fitted again. Each segment of every
-page then has the language of the lowest cross-entropy per character, with a
-calibrated confidence, or none if no model explains it.
+are judged by models of its other half, and those on which label and models
+agree are fitted again; a tag that no other page bears out is left without a
+model. Each segment of every page then has the language of the lowest
+cross-entropy per character, or none if no model explains it. Its confidence is
+calibrated on labels kept out of the fit, some of which are wrong too: how many
+is estimated with it.
 """
 
 from __future__ import annotations
@@ -21,13 +24,13 @@ from ..plans.tables import once
 from ..session import materialize
 from .charlm import Model, letters, plain
 
-#: Pages a language that the models are fitted on, as expected of a hashed sample; pages that a language must have.
-SAMPLE_PAGES, MIN_PAGES = 400, 10
+#: Pages a language that the models are fitted on, as expected of a hashed sample.
+SAMPLE_PAGES = 400
 #: Rounds of judging the sample.
 ROUNDS = 3
 #: Letters from which a segment is a case of its own.
 MIN_LETTERS = 80
-#: Part of the sample that is held out for calibration, and characters of its fragments.
+#: Part of the sample that is held out for calibration, and characters of its fragments; every other fragment measures what the others fit.
 HELD_OUT, FRAGMENT = 5, 20
 
 
@@ -67,47 +70,68 @@ class Identifier:
     def __init__(self, sample: list[tuple[str, str]]):
         labelled = [(p, language) for language, text in sample for s in segments(text) if len(p := plain(s)) >= MIN_LETTERS]
         held, fitted = labelled[::HELD_OUT], [x for i, x in enumerate(labelled) if i % HELD_OUT]
+        self.model = None
+        if not labelled:
+            return
         # each half is judged by models of the other; what they agree on is fitted in the next round
-        kept = fitted
-        for _ in range(ROUNDS):
-            halves = [kept[0::2], kept[1::2]]
+        kept = fitted = fitted or labelled
+        for _ in range(ROUNDS if len(fitted) > 1 else 0):
+            halves = [kept[0::2] or kept, kept[1::2] or kept]
             models = [self._model(h) for h in reversed(halves)]
             judged = []
             for half, model in zip([fitted[0::2], fitted[1::2]], models, strict=True):
                 best = model.entropies([t for t, _ in half])[0].argmin(1)
                 judged.append([x for x, k in zip(half, best, strict=True) if model.languages[k] == x[1]])
-            kept = [x for pair in zip_longest(*judged) for x in pair if x]
-        self.model = model = self._model(kept or fitted)
-        self.threshold, self.sharpness = np.inf, 0.3
+            kept = [x for pair in zip_longest(*judged) for x in pair if x] or fitted
+        self.model = model = self._model(kept)
+        self.threshold, self.sharpness, self.wrong_labels, self.calibration_error = np.inf, 0.3, 0.0, None
         if held:
             e, _ = model.entropies([t for t, _ in held])
             # beyond what wrong languages usually give, none explains the text
             self.threshold = float(np.quantile(np.sort(e, 1)[:, min(1, e.shape[1] - 1) :], 0.25))
-            self._calibrate([t for t, _ in held], e.argmin(1))
+            place = {x: k for k, x in enumerate(model.languages)}
+            known = [(t, place[x]) for t, x in held if x in place]
+            if known and len(place) > 1:
+                self._calibrate([t for t, _ in known], np.array([k for _, k in known]))
 
     @staticmethod
     def _model(labelled: list[tuple[str, str]]) -> Model:
         languages = sorted({x for _, x in labelled})
         return Model(languages, {language: [t for t, x in labelled if x == language] for language in languages})
 
-    def _calibrate(self, texts: list[str], truth: np.ndarray) -> None:
-        """How far likelihoods count: characters aren't independent. Fitted on short fragments, where errors occur, against what the whole segment is."""
-        pieces = [(t[i : i + FRAGMENT], k) for t, k in zip(texts, truth, strict=True) for i in range(0, min(len(t), 400) - FRAGMENT, FRAGMENT)]
+    def _calibrate(self, texts: list[str], labels: np.ndarray) -> None:
+        """How far likelihoods count, as characters aren't independent, and which part of the labels is wrong: the likeliest pair for short fragments, where errors occur, of texts and labels that no model has seen."""
+        pieces = [(t[i : i + FRAGMENT], k) for t, k in zip(texts, labels, strict=True) for i in range(0, min(len(t), 400) - FRAGMENT, FRAGMENT)]
         e, n = self.model.entropies([p for p, _ in pieces])
         k = np.array([k for _, k in pieces])
-        loss = []
-        for a in (grid := np.linspace(0.1, 1.5, 29)):
-            z = -a * n[:, None] * e
-            z -= z.max(1, keepdims=True)
-            loss.append(float(np.mean(np.log(np.exp(z).sum(1)) - z[np.arange(len(k)), k])))
-        self.sharpness = float(grid[int(np.argmin(loss))])
+
+        def agreement(sharpness: float, wrong: float, at: slice) -> tuple[np.ndarray, np.ndarray]:
+            """What is expected of the labels: that each is the model's, or by chance another."""
+            p = self._shares(e[at], n[at], sharpness)
+            return (1 - wrong) * p + wrong / p.shape[1], p
+
+        fitted, measured = slice(0, None, 2), slice(1, None, 2)
+        ways = [(a, w) for a in np.linspace(0.1, 1.5, 29) for w in (0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3)]
+        likely = [float(np.log(np.maximum(agreement(a, w, fitted)[0][np.arange(len(k[fitted])), k[fitted]], 1e-12)).sum()) for a, w in ways]
+        self.sharpness, self.wrong_labels = ways[int(np.argmax(likely))]
+        # the expected calibration error, in tenths of confidence, against the labels of the other fragments
+        expected, p = agreement(self.sharpness, self.wrong_labels, measured)
+        best = p.argmax(1)
+        if len(best):
+            said, right = expected[np.arange(len(best)), best], best == k[measured]
+            tenth = np.minimum((said * 10).astype(int), 9)
+            self.calibration_error = float(sum(abs(said[tenth == x].mean() - right[tenth == x].mean()) * (tenth == x).mean() for x in np.unique(tenth)))
+
+    @staticmethod
+    def _shares(e: np.ndarray, n: np.ndarray, sharpness: float) -> np.ndarray:
+        z = np.exp(-sharpness * n[:, None] * (e - e.min(1, keepdims=True)))
+        return z / z.sum(1, keepdims=True)
 
     def identify(self, texts: list[str]) -> tuple[list[str | None], np.ndarray]:
         """Languages and confidences of raw segments; no language and confidence 0 where none explains it."""
         e, n = self.model.entropies([plain(t) for t in texts])
         best = e.argmin(1)
-        z = -self.sharpness * n[:, None] * (e - e.min(1, keepdims=True))
-        confidence = 1 / np.exp(z).sum(1)
+        confidence = self._shares(e, n, self.sharpness).max(1)
         known = (e.min(1) <= self.threshold) & (n > 2)
         return [self.model.languages[b] if ok else None for b, ok in zip(best, known, strict=True)], np.where(known, confidence, 0.0)
 
@@ -115,7 +139,7 @@ class Identifier:
 def fit(pages: DataFrame, labels: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Identifier | None:
     """Fit on about ``sample_pages`` pages a language (a bounded, documented sample of the labelled rows); None without any."""
     single = labels.where(F.size("label") == 1).select("page_id", F.element_at("label", 1).alias("language"))
-    counts = [(r["language"], min(1.0, sample_pages / r["count"])) for r in single.groupBy("language").count().where(F.col("count") >= MIN_PAGES).collect()]
+    counts = [(r["language"], min(1.0, sample_pages / r["count"])) for r in single.groupBy("language").count().collect()]
     if not counts:
         return None
     rates = pages.sparkSession.createDataFrame(counts, "language string, rate double")
@@ -126,7 +150,8 @@ def fit(pages: DataFrame, labels: DataFrame, sample_pages: int = SAMPLE_PAGES) -
     sample = sorted((r["language"], r["text_content"], r["id"]) for r in rows)
     rng = np.random.default_rng(1)
     order = rng.permutation(len(sample))
-    return Identifier([(sample[i][0], sample[i][1]) for i in order])
+    fitted = Identifier([(sample[i][0], sample[i][1]) for i in order])
+    return fitted if fitted.model else None
 
 
 def segment_languages(pages: DataFrame, identifier: Identifier | None) -> DataFrame:

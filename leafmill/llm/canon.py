@@ -2,13 +2,17 @@
 
 Texts are cut at the places that need work: stretches of code points that have
 a plainer form, are invisible or combine, with the character before them. Only
-these stretches are exploded to positioned code points, mapped by a join with a
-table built from the Unicode data, put in canonical order, recomposed and set
-back between the rest of the text.
+these stretches are exploded to positioned code points and joined with a
+broadcast table, built from the Unicode data, of what each decomposes to; marks
+are put in the order of their classes, and the stretches recomposed and set back
+between the rest of the text. What comes of it shows how a text looks. The
+consistent form is made of that alone: letters that could be of several scripts
+get the script of their word.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -17,7 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from ..operators.skew import join_hot
 from ..plans.tables import once
 from ..session import materialize
 
@@ -106,46 +112,115 @@ def active() -> str:
     return "[" + "&&".join(f"[^{t[1:-1]}]" for t in tiers) + f"&&{_ranges(work)}]"
 
 
-def mapping(spark: SparkSession) -> DataFrame:
-    """(c, plain): the code points that have a plainer form, about six thousand rows."""
-    return spark.createDataFrame(pd.DataFrame(list(tables()[0].items()), columns=["c", "plain"]), "c string, plain string")
+PART = T.StructType([T.StructField("c", T.StringType()), T.StructField("k", T.IntegerType()), T.StructField("joins", T.BooleanType())])
+
+
+@lru_cache(1)
+def decompositions() -> list[tuple[str, list[tuple[str, int, bool]]]]:
+    """For each code point that has any, its plainer form in canonical decomposition: characters, combining classes, and whether they join with one before them."""
+    plain, marks = tables()
+    joins = set(marks)
+    out = []
+    for n in range(sys.maxunicode + 1):
+        if 0xD800 <= n < 0xE000:
+            continue
+        c = chr(n)
+        parts = unicodedata.normalize("NFD", plain.get(c, c))
+        if parts != c or c in joins:
+            out.append((c, [(x, unicodedata.combining(x), x in joins) for x in parts]))
+    return out
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("c", T.StringType()), T.StructField("k", T.IntegerType())])))
-def _classes(text: pd.Series) -> pd.Series:
-    """Characters in canonical decomposition with their combining classes."""
-    return text.map(lambda t: [{"c": c, "k": unicodedata.combining(c)} for c in unicodedata.normalize("NFD", t)])
+def mapping(spark: SparkSession) -> DataFrame:
+    """(c, parts) of ``decompositions``: as many rows as Unicode makes it, about twenty thousand."""
+    return spark.createDataFrame(decompositions(), T.StructType([T.StructField("c", T.StringType()), T.StructField("parts", T.ArrayType(PART))]))
 
 
 @F.pandas_udf(T.StringType())
 def _recompose(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: unicodedata.normalize("NFC", t))
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
 def canonical_spans(spans: DataFrame) -> DataFrame:
     """(row, span_no, span) to (row, span_no, plain)."""
     points = spans.select("row", "span_no", F.posexplode(F.split("span", "")).alias("at", "c")).where("c <> ''")
-    mapped = points.join(F.broadcast(mapping(spans.sparkSession)), "c", "left").select("row", "span_no", "at", _classes(F.coalesce("plain", "c")).alias("parts"))
-    ordered = mapped.groupBy("row", "span_no").agg(F.array_sort(F.collect_list(F.struct("at", "parts"))).alias("p"))
-    flat = F.flatten(F.transform("p", lambda x: x["parts"]))
-    # marks keep to the starter before them, and are put in the order of their classes
-    start = F.aggregate(
-        flat, F.struct(F.array().cast("array<struct<s:int,k:int,i:int,c:string>>").alias("out"), F.lit(0).alias("s")),
-        lambda a, x: F.struct(
-            F.concat(a["out"], F.array(F.struct((a["s"] + F.when(x["k"] == 0, 1).otherwise(0)).alias("s"), x["k"].alias("k"), F.size(a["out"]).alias("i"), x["c"].alias("c")))).alias("out"),
-            (a["s"] + F.when(x["k"] == 0, 1).otherwise(0)).alias("s"),
-        ),
-    )["out"]
-    joined = F.array_join(F.transform(F.array_sort(start), lambda x: x["c"]), "")
-    return ordered.select("row", "span_no", _recompose(joined).alias("plain"))
-
-
-def canonical(texts: DataFrame, key: list[str], column: str) -> DataFrame:
+    alone = F.array(F.struct("c", F.lit(0).alias("k"), F.lit(False).alias("joins")))
+    parts = points.join(F.broadcast(mapping(spans.sparkSession)), "c", "left").select("row", "span_no", "at", F.posexplode_outer(F.coalesce("parts", alone)).alias("j", "p"))
+    # marks keep to the starter before them; a cluster is what may join
+    order = Window.partitionBy("row", "span_no").orderBy("at", "j")
+    starter = F.sum(F.when(F.col("p.k") == 0, 1).otherwise(0)).over(order)
+    cluster = F.sum(F.when(~F.col("p.joins"), 1).otherwise(0)).over(order)
+    placed = parts.select("row", "span_no", starter.alias("starter"), cluster.alias("cluster"), F.col("p.k").alias("k"), "at", "j", F.col("p.c").alias("c"))
+    inner = F.array_sort(F.collect_list(F.when(F.col("c").isNotNull(), F.struct("starter", "k", "at", "j", "c"))))
+    clusters = placed.groupBy("row", "span_no", "cluster").agg(inner.alias("s")).select("row", "span_no", "cluster", F.array_join(F.transform("s", lambda x: x["c"]), "").alias("t"))
+    composed = F.coalesce(_recompose(F.when(F.length("t") > 1, F.col("t"))), F.col("t"))
+    whole = clusters.select("row", "span_no", "cluster", composed.alias("t")).groupBy("row", "span_no").agg(F.array_sort(F.collect_list(F.struct("cluster", "t"))).alias("s"))
+    return whole.select("row", "span_no", F.array_join(F.transform("s", lambda x: x["t"]), "").alias("plain"))
+
+
+# The blocks of the scripts whose letters are drawn like Latin ones.
+SCRIPTS = {"Cyrillic": "\u0400-\u052f\u1c80-\u1c8f\ua640-\ua69f", "Greek": "\u0370-\u03ff\u1f00-\u1fff"}
+_WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f])*")
+
+
+@lru_cache(1)
+def _scripts() -> list[tuple[re.Pattern, re.Pattern, dict[int, str]]]:
+    """For each script: letters that only it has, Latin letters that it lacks, and the Latin letters as its own."""
+    out = []
+    for blocks in SCRIPTS.values():
+        own = re.compile(f"[{blocks}]")
+        back: dict[str, str] = {}
+        for c, latin in LOOK_ALIKES.items():
+            # the commoner letter of a script comes first
+            if own.match(c):
+                back.setdefault(latin, c)
+        out.append((own, re.compile(f"(?![{''.join(map(re.escape, back))}])[A-Za-z\u00c0-\u024f]"), str.maketrans(back)))
+    return out
+
+
+def in_script(text: str) -> str:
+    """``text``, in which letters that several scripts share are Latin, with those of words of another script in that script.
+
+    A word that has a letter of its script alone, and no purely Latin one, is
+    of that script. A word of shared letters follows its neighbours, or, where
+    these differ, the greater part of the text.
+    """
+    for own, latin, back in _scripts():
+        if not own.search(text):
+            continue
+        words = list(_WORD.finditer(text))
+        kinds = [1 if own.search(w[0]) and not latin.search(w[0]) else 0 if latin.search(w[0]) else None for w in words]
+        mostly = sum(len(w[0]) * (1 if k else -1) for w, k in zip(words, kinds, strict=True) if k is not None) > 0
+        before: list = []
+        for k in kinds:
+            before.append(k if k is not None else before[-1] if before else None)
+        after: list = []
+        for k in reversed(kinds):
+            after.append(k if k is not None else after[-1] if after else None)
+        out, end = [], 0
+        for w, k, a, b in zip(words, kinds, before, reversed(after), strict=True):
+            if k is None:
+                k = b if a is None else a if b is None or a == b else mostly
+            if k:
+                out += [text[end : w.start()], w[0].translate(back)]
+                end = w.end()
+        text = "".join([*out, text[end:]])
+    return text
+
+
+@F.pandas_udf(T.StringType())
+def _in_script(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else in_script(t))
+
+
+def canonical(texts: DataFrame, key: list[str], column: str, look_only: bool = False) -> DataFrame:
     """``key`` columns and ``canonical``: the consistent form of ``column``.
 
     Full-width forms, ligatures and presentation forms become plain letters,
-    look-alike letters of other scripts the Latin ones, invisible characters
-    and controls vanish, combining marks are ordered and recomposed (NFC); a
+    letters that look like Latin ones become these in words of Latin letters,
+    while words of another script have that script's throughout (with
+    ``look_only`` all are Latin: what is compared), invisible characters and
+    controls vanish, combining marks are ordered and recomposed (NFC); a
     stretch of white space becomes one space, or one line feed where it holds
     one; white space at the ends goes. Null stays null, empty stays empty. It
     works on any length and any rows, repeated ones too; other columns are
@@ -167,7 +242,11 @@ def canonical(texts: DataFrame, key: list[str], column: str) -> DataFrame:
     plain = canonical_spans(spans).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("span_no", "plain"))).alias("p"))
     piece = lambda x, i: F.when(i % 2 == 1, F.try_element_at("p", F.shiftright(i, 1) + 1)["plain"]).otherwise(x)
     rebuilt = work.join(plain, "row", "left").select(*key, F.array_join(F.transform("pieces", piece), "").alias("text"))
-    return tidy(own.where(~needs)).unionByName(tidy(rebuilt))
+    plainest = tidy(own.where(~needs)).unionByName(tidy(rebuilt))
+    if look_only:
+        return plainest
+    other = "[" + "".join(rf"\p{{Is{x}}}" for x in SCRIPTS) + "]"
+    return plainest.select(*key, F.coalesce(_in_script(F.when(F.col("canonical").rlike(other), F.col("canonical"))), F.col("canonical")).alias("canonical"))
 
 
 def skeleton(canonical_text: str) -> Column:
@@ -175,20 +254,48 @@ def skeleton(canonical_text: str) -> Column:
     return F.regexp_replace(canonical_text, SPACES, " ")
 
 
+#: Pages of a group that looks the same, about, that are held against so many others in one task.
+PAIR_ROWS = 512
+
+
+def looks(pages: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """(id, exact, look) of each page of enough letters once: 128 bits of its text, and of how it looks."""
+    own = pages.select("id", "text_content").where("text_content IS NOT NULL")
+    own = own.withColumn("exact", F.unhex(F.md5("text_content")))
+    form = canonical(own, ["id", "exact"], "text_content", look_only=True)
+    letters = F.col("canonical").rlike(rf"(?s)(?:\p{{L}}\P{{L}}*+){{{min_letters}}}")
+    return materialize(once(form.where(letters).select("id", "exact", F.unhex(F.md5(skeleton("canonical"))).alias("look"))), "looks")
+
+
+def look_alike_members(pages: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """(page_id, text_id, look_id, texts): the smallest page of the same text, and of the same look, and how many texts look so.
+
+    It says what ``look_alike_pairs`` says in a row a page: two pages are a
+    pair if they have one look_id and two text_ids. Pages that take no part
+    there have no row.
+    """
+    keyed = looks(pages, min_letters)
+    texts = keyed.groupBy("look", "exact").agg(F.min("id").alias("text_id"))
+    groups = texts.groupBy("look").agg(F.min("text_id").alias("look_id"), F.count("*").alias("texts"))
+    # one text may be that of very many pages
+    by_text = materialize(texts.join(groups, "look").select("exact", "text_id", "look_id", "texts"), "texts")
+    return join_hot(keyed.select("id", "exact"), by_text, "exact", "inner").select(F.col("id").alias("page_id"), "text_id", "look_id", "texts")
+
+
 def look_alike_pairs(pages: DataFrame, min_letters: int = MIN_LETTERS) -> DataFrame:
     """(page_id_a, page_id_b): pages whose ``text_content`` looks the same but differs in its characters.
 
     Pages of fewer letters in the canonical form, and null texts, take no part;
     of repeated ids one counts. Pages are grouped by 128 bits of what is
     compared, equal texts by 128 bits of the text, and only groups that hold
-    different texts are paired.
+    different texts are paired. A group of many pages is paired in a grid of
+    parts, so that no task holds all of it.
     """
-    own = pages.select("id", "text_content").where("text_content IS NOT NULL")
-    own = own.withColumn("exact", F.unhex(F.md5("text_content")))
-    form = canonical(own, ["id", "exact"], "text_content")
-    letters = F.col("canonical").rlike(rf"(?s)(?:\p{{L}}\P{{L}}*+){{{min_letters}}}")
-    keyed = materialize(once(form.where(letters).select("id", "exact", F.unhex(F.md5(skeleton("canonical"))).alias("look"))), "looks")
-    mixed = keyed.groupBy("look").agg(F.min("exact").alias("a"), F.max("exact").alias("b")).where("a <> b").select("look")
-    members = materialize(keyed.join(mixed, "look", "left_semi"), "mixed")
-    a, b = members.select("look", F.col("id").alias("page_id_a"), F.col("exact").alias("xa")), members.select("look", F.col("id").alias("page_id_b"), F.col("exact").alias("xb"))
-    return a.join(b, "look").where("page_id_a < page_id_b AND xa <> xb").select("page_id_a", "page_id_b")
+    keyed = looks(pages, min_letters)
+    mixed = keyed.groupBy("look").agg(F.min("exact").alias("a"), F.max("exact").alias("b"), F.ceil(F.count("*") / PAIR_ROWS).cast("int").alias("parts")).where("a <> b").select("look", "parts")
+    # of a hot look there is one row
+    members = materialize(join_hot(keyed, mixed, "look", "inner").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "mixed")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = members.select("look", F.col("part").alias("i"), other.alias("j"), F.col("id").alias("page_id_a"), F.col("exact").alias("xa"))
+    b = members.select("look", other.alias("i"), F.col("part").alias("j"), F.col("id").alias("page_id_b"), F.col("exact").alias("xb"))
+    return a.join(b, ["look", "i", "j"]).where("page_id_a < page_id_b AND xa <> xb").select("page_id_a", "page_id_b")

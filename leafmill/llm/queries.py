@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans.tables import once, source_key, table
+from ..plans.tables import table
+from ..session import new_path
 from . import canon, cutoffs, language, lines, mixing, neighbours, pieces, scans, spam, tokens
 
 
@@ -74,24 +75,36 @@ def p5_found(spark, folder):
 
 
 def p5_pieces(spark, folder):
-    texts = once(pieces.page_texts(table(spark, folder, "pages")))
-    return pieces.split_texts(texts).withColumnRenamed("item", "page_id")
+    return pieces.split_texts(pieces.page_texts(table(spark, folder, "pages"))).withColumnRenamed("item", "page_id")
 
 
 def p5_counts(spark, folder):
     return pieces.counts_by_document(table(spark, folder, "pages"), table(spark, folder, "document_results"))
 
 
+def p5_files(spark, folder):
+    """The pieces of files that hold all texts of the corpus, one after the other."""
+    texts = table(spark, folder, "documents").where("text IS NOT NULL")
+    path = new_path(spark, "corpus")
+    texts.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(path)
+    files = sorted(spark.read.text(path).inputFiles())
+    return pieces.split_files(spark, files).withColumnRenamed("item", "file_no")
+
+
 def p6_found(spark, folder):
     return canon.look_alike_pairs(table(spark, folder, "pages"))
 
 
+def p6_members(spark, folder):
+    return canon.look_alike_members(table(spark, folder, "pages"))
+
+
 def p6_canonical(spark, folder):
-    """Both texts of each page in the consistent form."""
-    pages = once(table(spark, folder, "pages").select("id", "text_content", "normalized_text_content"))
-    raw = canon.canonical(pages, ["id"], "text_content").withColumnRenamed("canonical", "text_content")
-    normalized = canon.canonical(pages, ["id"], "normalized_text_content").withColumnRenamed("canonical", "normalized_text_content")
-    return raw.join(normalized, "id").withColumnRenamed("id", "page_id")
+    """Both texts of each page in the consistent form; rows that stand twice meet where the two texts do."""
+    pages = table(spark, folder, "pages").select(F.col("id").alias("page_id"), F.posexplode(F.array("text_content", "normalized_text_content")).alias("which", "text"))
+    forms = canon.canonical(pages, ["page_id", "which"], "text")
+    text = lambda i: F.max(F.when(F.col("which") == i, F.col("canonical")))
+    return forms.groupBy("page_id").agg(text(0).alias("text_content"), text(1).alias("normalized_text_content"))
 
 
 def _scores(spark, folder):
@@ -115,7 +128,7 @@ def p10_scores(spark, folder):
     return spam.keyword_spam(table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_counts": p5_counts, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
+QUERIES = {"p1_found": p1_found, "p1_pages": p1_pages, "p2_found": p2_found, "p2_neighbours": p2_neighbours, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_lines": p4_lines, "p4_clean": p4_clean, "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_counts": p5_counts, "p5_files": p5_files, "p6_found": p6_found, "p6_members": p6_members, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_cutoffs": p7_cutoffs, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores}
 _SPACE = r"[\p{Z}\t\n\x0B\f\r\x{85}\x1C-\x1F]"
 _LABEL = rf"nullif(lower(regexp_replace(source_label, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), '')"
 _TEXT = rf"regexp_replace(coalesce(normalized_text_content, text_content), '\A{_SPACE}+|{_SPACE}+\z', '', 'g')"
@@ -136,8 +149,6 @@ SQL = {
     "p4_clean": _LINES + f", g AS (SELECT page_id, list(line_no) AS gone FROM ({_FOUND}) GROUP BY page_id) "
     "SELECT p.id AS page_id, coalesce(len(gone), 0)::INT AS n_removed, CASE WHEN gone IS NULL THEN text_content ELSE array_to_string(list_filter(string_split(text_content, chr(10)), lambda x, i: NOT list_contains(gone, i)), chr(10)) END AS text "
     "FROM (SELECT DISTINCT id, text_content FROM pages) p LEFT JOIN g ON g.page_id = p.id",
-    "p5_counts": f"SELECT document_id, pages, pieces::BIGINT AS pieces, chunk_count FROM (SELECT document_id, count(*) AS pages, sum(CASE WHEN n > {pieces.LIMIT} THEN ceil(n / {float(pieces.grid()[0])}) WHEN n > 0 THEN 1 ELSE 0 END) AS pieces "
-    f"FROM (SELECT DISTINCT id, document_id, strlen({_TEXT}) AS n FROM pages) GROUP BY document_id) FULL JOIN (SELECT document_id, arg_max(chunk_count, finished_at) AS chunk_count FROM document_results GROUP BY document_id) USING (document_id)",
     "p4_found": _LINES + _FOUND,
     "p5_found": f"SELECT DISTINCT id AS page_id, (list_max(list_transform(string_split_regex(t, '{_SPACE}+'), lambda x: strlen(x))) > 1200)::BIGINT AS forced FROM (SELECT id, {_TEXT} AS t FROM pages) WHERE strlen(t) > 1200",
     "p7_found": _CUTS + "SELECT page_id FROM s JOIN c USING (source) WHERE score >= cutoff",

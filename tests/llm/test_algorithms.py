@@ -40,6 +40,16 @@ def test_round_trip(spark, texts):
     assert tokens.decode_corpus(spark.createDataFrame([(1, None)], "doc_id bigint, ids array<int>")).first().text is None
 
 
+def test_tokens_of_null_ids_and_many_salts(spark, texts, monkeypatch):
+    monkeypatch.setattr(tokens, "SALT_BLOCKS", 1)
+    df = documents(spark, texts)
+    odd = df.select(F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).alias("doc_id"), "text").repartition(7)
+    expected = {r.doc_id: r.ids for r in tokens.encode_corpus(df).collect() if r.doc_id % 2 == 0}
+    got = tokens.encode_corpus(odd).collect()
+    assert len(got) == len(texts) and {r.doc_id: r.ids for r in got if r.doc_id is not None} == expected
+    assert tokens.token_counts(odd).where("doc_id IS NULL").count() == len(texts) // 2
+
+
 def test_tokens_of_an_empty_table(spark):
     assert tokens.encode_corpus(documents(spark, ["a"]).limit(0)).count() == 0
 
@@ -54,6 +64,9 @@ def test_poisson_counts():
     assert n.mean() == pytest.approx(1.7, abs=0.02) and n.var() == pytest.approx(1.7, abs=0.03)
     assert mixing.poisson_counts(u, np.full(len(u), 50.0), np.full(len(u), 3)).max() == 3
     assert mixing.capped_rate(1.5, 3) == pytest.approx(1.61, abs=0.01)
+    many = mixing.poisson_counts(u, np.full(len(u), 3000.0), np.full(len(u), 10_000))
+    assert many.mean() == pytest.approx(3000, rel=0.001) and many.var() == pytest.approx(3000, rel=0.05)
+    assert mixing.capped_rate(2900, 3000) == pytest.approx(2900, rel=0.01)
 
 
 def test_mix(spark):
@@ -63,16 +76,23 @@ def test_mix(spark):
     mixed, shares = mixing.mix_sources(docs, targets)
     by = {r.source: r for r in shares.collect()}
     assert set(by) == {"big", "small", "absent", "zero", "nan"} and by["absent"].tokens == 0 and by["zero"].n_used == 0
-    # big and small as 1 to 2, small used up to its cap
-    assert by["small"].tokens == 3 * by["small"].tokens_there
-    assert by["small"].tokens / by["big"].tokens == pytest.approx(2, rel=0.02)
+    # the total is what both have; the small one would be half of it, and is used up to its cap
+    total = by["big"].tokens_there + by["small"].tokens_there
+    assert by["small"].capped and by["small"].tokens == 3 * by["small"].tokens_there if by["small"].target_share * total > 3 * by["small"].tokens_there else by["small"].goal_share == pytest.approx(0.5, rel=0.01)
+    assert not by["big"].capped and by["big"].goal_share == pytest.approx(0.25, rel=0.01) and by["big"].tokens == pytest.approx(total / 4, rel=0.01)
+    assert sum(r.reached_share for r in by.values()) == pytest.approx(1)
     most = {r.source: r.n for r in mixed.groupBy("source", "doc_id").count().groupBy("source").agg(F.max("count").alias("n")).collect()}
-    assert most["small"] == 3 and most["big"] <= 2
+    assert most["small"] <= 3 and most["big"] <= 2
     assert mixed.agg(F.sum("n_tokens")).first()[0] == by["small"].tokens + by["big"].tokens
     again = mixing.mix_sources(docs.repartition(5), targets)[0]
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, mixed.collect()))
     beyond = {r.source: r for r in mixing.mix_sources(docs, targets, total_tokens=10**9)[1].collect()}
     assert beyond["big"].tokens == 2 * beyond["big"].tokens_there
+    assert beyond["small"].tokens == 3 * beyond["small"].tokens_there and beyond["small"].capped
+    # repeated ids are rows of their own, null ids too
+    odd = docs.where("doc_id < 40").unionByName(docs.where("doc_id < 10")).unionByName(docs.where("doc_id < 20").withColumn("doc_id", F.lit(None).cast("bigint")))
+    whole = {r.source: r for r in mixing.mix_sources(odd, targets, total_tokens=10**9)[1].collect()}
+    assert whole["big"].n_docs == odd.where("source = 'Big'").count() and whole["big"].n_copies == 2 * whole["big"].n_docs
     assert mixing.mix_sources(docs.limit(0), targets)[0].count() == 0
     assert mixing.mix_sources(docs, targets.limit(0))[0].count() == 0
 
@@ -111,25 +131,46 @@ def test_cutoffs_of_empty_tables(spark):
 # ---- problem 5
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_pieces_of_any_text(seed):
+def cut_in_ranges(data, size):
+    out = []
+    for start in range(0, len(data), size):
+        base, stop = max(0, start - pieces.halo(pieces.LIMIT)), min(len(data), start + size)
+        out += pieces.pieces_of_range(data[base : stop + pieces.AFTER], base, start, stop, len(data), pieces.LIMIT, pieces.OVERLAP)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_pieces_of_any_text(seed, monkeypatch):
+    monkeypatch.setattr(pieces, "ANCHOR", 4096)
     rng = random.Random(seed)
     parts = ["a", "é", "م", "😀", " ", "\n", "\n\n", ". ", "word ", "x" * 40, "　"]
     for n in (1, 5, 1199, 1200, 1201, 9000):
-        data = ("é" * n if seed == 3 else "".join(rng.choice(parts) for _ in range(n))).encode()
+        data = ("é" * n if seed == 3 else "".join(rng.choice(["w" * rng.choice([3, 900, 1100, 1190, 1200]), " "]) for _ in range(n // 50 + 1)) if seed == 4 else "".join(rng.choice(parts) for _ in range(n))).encode()
         whole = None
-        for size in (700, 5000, 1 << 20):
-            out = []
-            for start in range(0, len(data), size):
-                base, stop = max(0, start - 2 * pieces.LIMIT), min(len(data), start + size)
-                out += pieces.pieces_of_range(data[base:stop], base, start, stop, len(data), pieces.LIMIT, pieces.OVERLAP)
+        for size in (4096, 8192, 1 << 20):
+            out = cut_in_ranges(data, size)
             whole = whole or out
             assert out == whole  # the ranges don't matter
-        at = 0
-        for k, (number, start, stop, _, text) in enumerate(whole, 1):
-            assert number == k and start <= at < stop and stop - start <= pieces.LIMIT and at - start <= pieces.OVERLAP and text.encode() == data[start:stop]
-            at = stop
+        at, forced = 0, False
+        for start, stop, kind, text in whole:
+            assert start <= at < stop and stop - start <= pieces.LIMIT and at - start <= pieces.OVERLAP and text.encode() == data[start:stop]
+            at, forced = stop, forced or kind == "forced"
         assert at == len(data)
+        # a cut is forced only within a stretch that is over the limit
+        assert not forced or max(map(len, data.decode().replace("　", " ").split())) * 4 > pieces.LIMIT
+        if seed == 4:
+            assert forced == any(len(x) > pieces.LIMIT for x in data.split())
+
+
+def test_pieces_end_at_the_best_boundary():
+    line = "The works office lists every repair of the harbour. It does so in this order\n"
+    out = cut_in_ranges((line * 60).encode(), 1 << 16)
+    assert {kind for _, _, kind, _ in out[:-1]} == {"line"} and sum(b - a for a, b, *_ in out[:-1]) / (len(out) - 1) > 1100
+    out = cut_in_ranges((line * 14 + "\n" + line * 14).encode(), 1 << 16)
+    assert out[0][2] == "paragraph"
+    # white space far back in the piece is better than a cut in a word
+    out = cut_in_ranges(("word " + "x" * 1199 + " " + "y" * 1000).encode(), 1 << 16)
+    assert [kind for _, _, kind, _ in out] == ["word", "word", "end"]
 
 
 def test_pieces_of_pages(spark):
@@ -141,9 +182,12 @@ def test_pieces_of_pages(spark):
     counts = {r["item"]: r["n"] for r in out.groupBy("item").agg(F.count_distinct("piece_no").alias("n")).collect()}
     assert counts[2] == 1 and 4 not in counts and 5 not in counts and counts[7] > 140_000 // 1200
     assert out.where(F.octet_length("piece") > pieces.LIMIT).count() == 0
-    assert {r.longest for r in pieces.oversized(pieces.page_texts(df)).where("item = 7").collect()} == {70_000}
+    assert {r.longest for r in pieces.tables_of_texts(pieces.page_texts(df)).where("item = 7").collect()} == {70_000}
+    assert {r["item"]: r.pieces for r in pieces.tables_of_texts(pieces.page_texts(df)).collect()} == counts
+    numbers = sorted(r.piece_no for r in out.where("item = 7").collect())
+    assert numbers == list(range(1, len(numbers) + 1)) and out.where("item = 1").count() == counts[1]
     results = spark.createDataFrame([(1, 1, 5), (2, 77, 3), (3, None, 1)], "result_id bigint, document_id bigint, chunk_count bigint").withColumn("finished_at", F.current_timestamp())
-    assert {r.document_id: r.chunk_count for r in pieces.counts_by_document(df, results).collect()} == {1: 5, 77: 3}
+    assert {r.document_id: (r.pieces, r.chunk_count) for r in pieces.counts_by_document(df, results).collect()} == {1: (sum(counts.values()), 5), 77: (None, 3)}
     assert pieces.found(df.limit(0)).count() == 0
 
 
@@ -152,7 +196,7 @@ def test_pieces_of_a_file(spark, tmp_path):
     (tmp_path / "big.txt").write_text(text)
     (tmp_path / "none.txt").write_text("")
     uris = [f"file://{tmp_path}/big.txt", f"file://{tmp_path}/none.txt"]
-    got = pieces.split_files(spark, uris, size=50_000).orderBy("piece_no").collect()
+    got = pieces.split_files(spark, uris, size=1 << 17).orderBy("piece_no").collect()
     df = spark.createDataFrame([(0, text)], "id bigint, text string")
     assert [tuple(r) for r in got] == [tuple(r) for r in pieces.split_texts(df).orderBy("piece_no").collect()]
 

@@ -42,6 +42,27 @@ def test_canonical_is_stable(spark):
     assert once.first().text == canon.canonical(once, ["id"], "text").first().canonical
 
 
+def test_words_keep_their_script(spark):
+    russian, greek, latin = "Это обычная русская страница, а не он один", "Αυτή είναι μια σελίδα ΚΑΙ όχι άλλη", "The annual report, a note"
+    hidden = russian.replace("о", "o").replace("а", "a")
+    spoofed = latin.replace("a", "а").replace("e", "е")
+    df = spark.createDataFrame(list(enumerate([russian, greek, latin, hidden, spoofed, f"{latin} «{russian}» and {latin}"])), "id int, text string")
+    got = {r.id: r.canonical for r in canon.canonical(df, ["id"], "text").collect()}
+    assert [got[i] for i in range(6)] == [russian, unicodedata.normalize("NFC", greek), latin, russian, latin, f"{latin} «{russian}» and {latin}"]
+    again = canon.canonical(spark.createDataFrame(list(got.items()), "id int, text string"), ["id"], "text")
+    assert {r.id: r.canonical for r in again.collect()} == got
+
+
+def test_look_alike_members_say_what_pairs_say(spark, monkeypatch):
+    base = "The annual statement of the harbour office lists twelve vessels and their cargo"
+    rows = [(i, 1, base.replace("a", "а") if i % 3 == 0 else base.replace(" ", "  ") if i % 7 == 0 else base) for i in range(40)] + [(50, 1, base + "."), (51, 1, "short")]
+    members = {r.page_id: r for r in canon.look_alike_members(pages(spark, rows)).collect()}
+    assert set(members) == {*range(40), 50} and members[50].texts == 1 and members[5].texts == 3 and {members[i].look_id for i in range(40)} == {0}
+    monkeypatch.setattr(canon, "PAIR_ROWS", 7)
+    pairs = sorted(tuple(r) for r in canon.look_alike_pairs(pages(spark, rows)).collect())
+    assert pairs == sorted((a, b) for a in members for b in members if a < b and members[a].look_id == members[b].look_id and members[a].text_id != members[b].text_id)
+
+
 def test_look_alike_pairs(spark):
     base = "The annual statement of the harbour office lists twelve vessels and their cargo"
     rows = [(1, 1, base), (2, 1, base.replace("a", "а")), (3, 1, base), (3, 1, base), (4, 2, base.replace(" ", "  ", 3)), (5, 2, base + "."), (6, 2, None), (7, 2, "short а"), (8, 2, "short a"), (9, 2, "")]

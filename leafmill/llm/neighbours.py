@@ -27,17 +27,17 @@ from ..session import materialize
 
 DIM, K, MIN_COSINE = 32, 5, 0.97
 #: Vectors of a model version that the index is fitted on: a hashed sample of about so many, or so many for each list where that is more.
-FIT_ROWS, FIT_LIST = 20_000, 8
+FIT_ROWS, FIT_LIST = 20_000, 16
 #: Lists that a query visits at least, and for the cube root of the number of lists, in the so many nearest regions.
-PROBES, PROBE_ROOT, REGIONS = 24, 1.6, 4
+PROBES, PROBE_ROOT, REGIONS = 32, 2.1, 4
 #: Candidates of a list, and of a region, that go on.
-LIST_BEST, RERANK = 24, 48
+LIST_BEST, RERANK = 12, 64
 #: Vectors of a list at least, and of a region, about; members and visitors of one task, at most about.
 LIST_ROWS, REGION_ROWS, BLOCK_ROWS, QUERY_ROWS = 50, 65_536, 131_072, 524_288
 #: Parts of a residual, and code words for each.
 PARTS, WORDS = 16, 32
 #: Queries that are searched at a time.
-CHUNK = 2048
+CHUNK = 8192
 #: Rows of an Arrow batch that is sent.
 SENT_ROWS = 10_000
 MEMBER, QUERY = 1, 2
@@ -111,51 +111,60 @@ class Index:
         self.n_probes = min(len(self.centroids), max(PROBES, math.ceil(PROBE_ROOT * len(self.centroids) ** (1 / 3))))
         rest = sample - self.centroids[_nearest(sample, self.centroids)]
         self.words = np.stack([kmeans(np.ascontiguousarray(p), WORDS) if len(p) >= WORDS else np.resize(p, (WORDS, p.shape[1])) for p in np.split(rest, PARTS, axis=1)])
+        self.ends = np.append(self.starts[1:], len(self.centroids))
         self.blocks = self.shares = np.ones(len(parts), np.int64)
 
-    def cells(self, v: np.ndarray) -> np.ndarray:
-        return _nearest(v, self.centroids)
-
     def codes(self, v: np.ndarray, cells: np.ndarray) -> np.ndarray:
         rest = v - self.centroids[cells]
         return np.stack([_nearest(np.ascontiguousarray(p), w) for p, w in zip(np.split(rest, PARTS, axis=1), self.words, strict=True)], axis=1)
 
-    def probes(self, v: np.ndarray) -> np.ndarray:
-        """(queries, lists): whether a query visits a list. It is among the nearest of those in the nearest regions."""
+    def route(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each vector its list; how near the farthest list is that it visits; and (vectors, regions), whether it visits a region.
+
+        It visits the nearest of the lists in the regions of the nearest ones.
+        """
+        n, p, parts = len(v), self.n_probes, len(self.starts)
         scores = v @ self.centroids.T - self.half
-        if len(self.blocks) > REGIONS:
-            best = np.maximum.reduceat(scores, self.starts, axis=1)
-            least = -np.partition(-best, REGIONS - 1, axis=1)[:, REGIONS - 1]
-            scores[~(best >= least[:, None])[:, self.region]] = -np.inf
-        if self.n_probes < len(self.centroids):
-            least = -np.partition(-scores, self.n_probes - 1, axis=1)[:, self.n_probes - 1]
-            return (scores >= least[:, None]) & (scores > -np.inf)
-        return scores > -np.inf
-
-    def visited(self, v: np.ndarray) -> np.ndarray:
-        """(queries, regions): whether a query visits a region."""
-        return np.concatenate([np.logical_or.reduceat(self.probes(v[i : i + 4096]), self.starts, axis=1) for i in range(0, len(v), 4096)])
+        tops = np.stack([scores[:, a:b].max(1) for a, b in zip(self.starts, self.ends, strict=True)], axis=1)
+        regions = min(REGIONS, parts)
+        mine = np.argpartition(-tops, regions - 1, axis=1)[:, :regions] if regions < parts else np.tile(np.arange(regions), (n, 1))
+        best = np.full((n, regions * p), -np.inf, np.float32)
+        for r in range(parts):
+            who, slot = np.nonzero(mine == r)
+            own = scores[who, self.starts[r] : self.ends[r]]
+            k = min(p, own.shape[1])
+            if k < own.shape[1]:
+                own = np.partition(own, own.shape[1] - k, axis=1)[:, own.shape[1] - k :]
+            best[who[:, None], slot[:, None] * p + np.arange(k)] = own
+        least = np.partition(best, regions * p - p, axis=1)[:, regions * p - p]
+        visits = np.zeros((n, parts), bool)
+        who, slot = np.nonzero(np.take_along_axis(tops, mine, 1) >= least[:, None])
+        visits[who, mine[who, slot]] = True
+        return scores.argmax(1), least, visits
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """The asymmetric distance tables: (part, word, query), the products of each exact query's parts with the code words."""
         return np.matmul(self.words, np.ascontiguousarray(q.reshape(len(q), PARTS, -1).transpose(1, 2, 0)))
 
-    def search(self, region: int, members: np.ndarray, cells: np.ndarray, queries: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
-        """(queries, best): the places of the members of the visited lists with the greatest products, and these, exact; -1 where there are fewer."""
+    def search(self, region: int, members: np.ndarray, queries: np.ndarray, least: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, best): the places of the members with the greatest products, and these, exact; -1 where there are fewer. A query visits the lists of the region that are as near as ``least`` says."""
+        cells = self.starts[region] + _nearest(members, self.centroids[self.starts[region] : self.ends[region]])
         order = np.argsort(cells, kind="stable")
         at, starts, counts = np.unique(cells[order], return_index=True, return_counts=True)
         codes = np.ascontiguousarray(self.codes(members[order], cells[order]).T)
-        size = max(1, min(max(LIST_BEST, best + 1), int(counts.max())))
+        size = max(1, min(max(LIST_BEST, best), int(counts.max())))
         places, exact = np.full((len(queries), best), -1), np.full((len(queries), best), -np.inf)
         # queries of one list together: lists then meet long runs of them
         near = np.argsort((queries @ self.centroids[at].T - self.half[at]).argmax(1), kind="stable")
         for i in range(0, len(queries), CHUNK):
             mine = near[i : i + CHUNK]
             q = queries[mine]
-            asks, offset = self.probes(q)[:, at], q @ self.centroids[at].T
+            offset = q @ self.centroids[at].T
+            # a hair's breadth more: products may be rounded in another way here
+            asks = offset - self.half[at] >= (least[mine] - 1e-6)[:, None]
             slot = np.cumsum(asks, axis=1) - 1
             width = int(asks.sum(1).max())
-            rough, found = np.full((len(q), max(width, 1) * size), -np.inf, np.float32), np.full((len(q), max(width, 1) * size), -1)
+            rough, found = np.full((len(q), max(width, 1) * size), -np.inf, np.float32), np.full((len(q), max(width, 1) * size), -1, np.int32)
             for c in range(len(at)):
                 who = np.flatnonzero(asks[:, c])
                 if not len(who):
@@ -173,6 +182,11 @@ class Index:
                 keep = np.argpartition(-rough, max(RERANK, 3 * best) - 1, axis=1)[:, : max(RERANK, 3 * best)]
                 rough, found = np.take_along_axis(rough, keep, 1), np.take_along_axis(found, keep, 1)
             pick = order[np.maximum(found, 0)]
+            s = np.where(found < 0, -np.inf, np.einsum("qd,qnd->qn", q, members[pick]))
+            if s.shape[1] > 2 * best:
+                # the last digits only of those that may be among the best
+                keep = np.argpartition(s, s.shape[1] - 2 * best, axis=1)[:, s.shape[1] - 2 * best :]
+                pick, found = np.take_along_axis(pick, keep, 1), np.take_along_axis(found, keep, 1)
             s = np.where(found < 0, -np.inf, np.einsum("qd,qnd->qn", q.astype(np.float64), members[pick].astype(np.float64)))
             # members lie in the order of their ids, so that ties go to the smaller
             last = np.lexsort((pick, -s), axis=1)[:, :best]
@@ -234,8 +248,9 @@ def plan(vectors: DataFrame, index: dict[str, Index], dim: int) -> None:
             for m, _, units, _, first in _groups(b, dim):
                 own = shared.value[m]
                 n = len(own.blocks)
-                members[m] = members.get(m, 0) + np.bincount(own.region[own.cells(units[first])], minlength=n)
-                visits[m] = visits.get(m, 0) + own.visited(units[first]).sum(0)
+                cells, _, visited = own.route(units[first])
+                members[m] = members.get(m, 0) + np.bincount(own.region[cells], minlength=n)
+                visits[m] = visits.get(m, 0) + visited.sum(0)
         for m, n in members.items():
             yield pa.RecordBatch.from_pydict({"model_version": [m] * len(n), "region": pa.array(np.arange(len(n)), pa.int32()), "members": pa.array(n, pa.int64()), "visits": pa.array(visits[m], pa.int64())})
 
@@ -267,8 +282,9 @@ def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
             for m, ids, units, group, first in _groups(b, dim):
                 ix = shared.value[m]
                 u, sizes = units[first], np.bincount(group)
-                home, mixed = ix.region[ix.cells(u)], _mixed(u)
-                g, r = np.nonzero(ix.visited(u) | (np.arange(len(ix.blocks)) == home[:, None]))
+                cells, least, visited = ix.route(u)
+                home, mixed = ix.region[cells], _mixed(u)
+                g, r = np.nonzero(visited | (np.arange(len(ix.blocks)) == home[:, None]))
                 # a query goes to all blocks of a region, in its share; a member to all shares of its home region, in its block
                 blocks, block, share = ix.blocks[r], mixed[g] % ix.blocks[r], mixed[g] % ix.shares[r]
                 n = np.where(r == home[g], blocks + ix.shares[r] - 1, blocks)
@@ -289,7 +305,7 @@ def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
                     part, ends = slice(i, i + SENT_ROWS), np.concatenate([[0], np.cumsum(counts)])
                     yield pa.RecordBatch.from_pydict({
                         "model_version": pa.array([m] * len(g[part]), pa.string()), "region": pa.array(r[at][part], pa.int32()), "block": pa.array(y[part], pa.int32()), "share": pa.array(x[part], pa.int32()), "kind": pa.array(kind[part], pa.int32()),
-                        "ids": _lists(few[ends[i] : ends[min(i + SENT_ROWS, len(g))]], counts[part], pa.int64()), "unit": _binary(u[g[part]]),
+                        "least": pa.array(least[g[part]], pa.float32()), "ids": _lists(few[ends[i] : ends[min(i + SENT_ROWS, len(g))]], counts[part], pa.int64()), "unit": _binary(u[g[part]]),
                     })
 
     def search(key, table):
@@ -310,7 +326,7 @@ def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
             return pa.Table.from_pylist([], schema=OUT)
         members = units[first[held]]
         ix = shared.value[m]
-        places, exact = ix.search(region, members, ix.cells(members), units[first[asked]], k + 1)
+        places, exact = ix.search(region, members, units[first[asked]], table["least"].to_numpy()[first[asked]], k + 1)
         if len(held) == len(member) and (np.diff(starts)[member] == 1).all():
             known = places >= 0
             near, sims = rep[held][places][known], exact[known]
@@ -333,7 +349,7 @@ def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
         return pa.concat_tables([hits, known_as])
 
     keys = ["model_version", "region", "block", "share"]
-    sent = own.mapInArrow(send, "model_version string, region int, block int, share int, kind int, ids array<long>, unit binary")
+    sent = own.mapInArrow(send, "model_version string, region int, block int, share int, kind int, least float, ids array<long>, unit binary")
     hits = sent.groupBy(*keys).applyInArrow(search, "id long, rep long, near array<long>, sims array<float>")
     by_id = hits.groupBy("id").agg(F.collect_list(F.when(F.col("near").isNotNull(), F.struct("near", "sims"))).alias("found"), F.min("rep").alias("rep"))
     pairs = F.flatten(F.transform("found", lambda x: F.zip_with(x["near"], x["sims"], lambda n, s: F.struct((-s).alias("s"), n.alias("neighbour")))))

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import canon, charlm, language, lines, scans, spam
 
-PAGE = "id bigint, document_id bigint, page_number int, extraction_method string, text_content string, normalized_text_content string, quality_score double, language_hints array<string>, source_label string"
+PAGE = "id bigint, document_id bigint, page_number int, extraction_method string, text_content string, normalized_text_content string, quality_score double, language_hints array<string>, source_label string, confidence double"
 
 
 def pages(spark, rows):
     """Rows are (id, document_id, text) with defaults; source_label is a column of no meaning here."""
-    return spark.createDataFrame([(i, d, 1, "vision_ocr", t, None, 0.5, None, "clash") for i, d, t in rows], PAGE)
+    return spark.createDataFrame([(i, d, 1, "vision_ocr", t, None, 0.5, None, "clash", None) for i, d, t in rows], PAGE)
 
 
 # ---- problem 6
@@ -106,7 +106,7 @@ def language_tables(spark):
     ]
     configs = spark.createDataFrame([(1, ["FR-fr", " "]), (2, []), (3, None)], "run_id int, languages array<string>")
     results = spark.createDataFrame([(1, 1, 501), (2, 2, 500), (3, None, None)], "result_id bigint, run_id int, document_id bigint").withColumn("finished_at", F.current_timestamp())
-    return spark.createDataFrame(rows + mixed, PAGE), results, configs
+    return spark.createDataFrame([(*r, None) for r in rows + mixed], PAGE), results, configs
 
 
 def test_languages(spark):
@@ -195,7 +195,7 @@ def scan_tables(spark):
         truth |= {(i, 1, "furniture"), (i, 12, "furniture"), (i, 5, "broken"), (i, 9, "misread")}
     edge = [(200, None, None, "vision_ocr", "", None, None, None, None), (201, None, None, "vision_ocr", None, None, None, None, None), (202, 5, 1, "vision_ocr", "word " * 60_000, None, None, None, None), rows[0]]
     documents = spark.createDataFrame([(i, f"Harbour Report QX-{10000 + i}", None) for i in range(60)] + [(90, None, None)], "id bigint, document_title string, text_content string")
-    return spark.createDataFrame(clean + rows + edge, PAGE), documents, truth
+    return spark.createDataFrame([(*r, 0.6) for r in clean + rows + edge], PAGE), documents, truth
 
 
 def test_scans(spark):
@@ -210,6 +210,54 @@ def test_scans(spark):
     assert scans.clean_pages(own.limit(0), documents).count() == 0
 
 
+def test_scans_of_another_generator(spark):
+    """Pages that look otherwise than those of the test tables, with a confusion that no list names."""
+    rng = random.Random(11)
+    syllables = [a + b for a in "b d f g k l m n p r s t v z".split() for b in "a e i o u an er il on us".split()]
+    words = sorted({"".join(rng.choice(syllables) for _ in range(rng.choice([2, 3, 3, 4]))) for _ in range(600)})
+    sentence = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    clean = [(5000 + i, 900, 1, "text_layer", "\n".join(sentence(12).capitalize() + "." for _ in range(25)), None, 0.5, None, None, None) for i in range(60)]
+    rows, truth, documents = [], set(), []
+    for i in range(150):
+        title = f"{sentence(3).title()} {1990 + i % 30}"
+        documents.append((i, title if i % 10 else None, None))
+        lines, noisy = [], []
+        style, number = i % 3, i % 17 + 1
+        if style == 0:
+            noisy.append((len(lines), "furniture"))
+            lines += [title.upper(), "", ""]
+        elif style == 1:
+            noisy.append((len(lines), "furniture"))
+            lines += [f"{number}    {title}", ""]
+        for k in range(12):
+            line = sentence(9)
+            if rng.random() < 0.2:
+                w = rng.choice([x for x in words if len(x) >= 6])
+                noisy.append((len(lines), "broken"))
+                cut = rng.randrange(2, len(w) - 2)
+                lines += [f"{line} {w[:cut]}-", f"{w[cut:]} {sentence(6)}"]
+                continue
+            at = rng.randrange(9)
+            w = line.split()[at]
+            if rng.random() < 0.15 and len(w) >= 6 and "v" in w and w.replace("v", "y", 1) not in words:
+                line = " ".join([*line.split()[:at], w.replace("v", "y", 1), *line.split()[at + 1 :]])
+                noisy.append((len(lines), "misread"))
+            lines.append(line)
+            if k == 5:
+                lines.append("")
+        if style:
+            lines += ["", f"Page {number} of 40" if style == 1 else f"- {number} -"]
+            noisy.append((len(lines) - 1, "furniture"))
+        rows.append((i, i, number, "vision_ocr", "\n".join(lines), None, 0.5, None, None, 0.3))
+        truth |= {(i, n + 1, kind) for n, kind in noisy}
+    own = spark.createDataFrame(clean + rows, PAGE)
+    found = {tuple(r) for r in scans.noisy_lines(scans.clean_pages(own, spark.createDataFrame([*documents, (900, None, None)], "id bigint, document_title string, text_content string"))).collect()}
+    for kind in ("furniture", "broken", "misread"):
+        right, got = {t for t in truth if t[2] == kind}, {f for f in found if f[2] == kind}
+        print(kind, len(right), len(got), len(right & got))
+        assert len(right & got) >= 0.95 * len(right) and len(right & got) >= 0.95 * len(got), (kind, sorted(right - got)[:3], sorted(got - right)[:3])
+
+
 # ---- problem 10
 
 

@@ -2,13 +2,17 @@
 
 Recognition is a table of candidates, (page_id, orientation, dpi, text,
 confidence), filled by whatever recogniser there is. A page's few candidates
-meet in one map; the choice is a chain of expressions, and the retries, whose
-preference isn't transitive, a fold. Candidates that don't exist count as empty
-with confidence 0.01.
+meet in one row, by one shuffle; the choice is a chain of expressions, each
+bound once, and the retries, whose preference isn't transitive, a fold. A
+candidate is measured when the chain comes to it: the sweep only where the base
+is poor, retries only where numbers are suspicious. Candidates that don't exist
+count as empty with confidence 0.01.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,50 +28,39 @@ ORIENTATIONS = (0, 90, 180, 270)
 TOLERANCE = 0.05
 
 
-#: What is known of a candidate, and of the same with its numbers repaired (r_): of its text alone, and with its confidence.
-OF_TEXT, OF_TRY = ("text", "r_text", "codes", "fidelity"), ("confidence", "quality", "gate", "r_quality", "r_gate")
-SCORES = (*OF_TEXT, *OF_TRY)
-
-
-def measured(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with a column ``m`` of all that each row's text is measured by, whatever its confidence. Every text is measured once, here: what follows only compares."""
-    own = df.columns
-    df = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_repaired", repair_numbers("_text"))
-    for c, of in (("", "_text"), ("r_", "_repaired")):
-        df = df.withColumn(f"_{c}chars", grapheme_count(of)).withColumn(f"_{c}sanity", language_sanity(of))
-    m = F.struct(
-        F.col("_text").alias("text"), F.col("_repaired").alias("r_text"), reason_codes("_repaired").alias("codes"), grouped_fidelity("_repaired").alias("fidelity"),
-        F.col("_chars").alias("chars"), F.col("_sanity").alias("sanity"), F.col("_r_chars").alias("r_chars"), F.col("_r_sanity").alias("r_sanity"),
-    )
-    return df.select(*own, m.alias("m"))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _tried(m: Column, confidence: Column, t: Thresholds) -> list[Column]:
-    """The fields of OF_TRY from what is measured of a text and a confidence."""
-    confidence, out = confidence.cast("double"), {}
-    for c in ("", "r_"):
-        chars, sanity = m[f"{c}chars"], m[f"{c}sanity"]
-        quality = quality_of(chars, sanity, confidence, t.min_chars)
-        out |= {f"{c}quality": quality, f"{c}gate": gate_of(chars, sanity, quality, confidence, t)}
-    out["confidence"] = confidence
-    return [out[k].alias(k) for k in OF_TRY]
+def _scored(text: Column, confidence: Column, t: Thresholds) -> Callable[[Callable], Column]:
+    chars, sanity = grapheme_count(text), language_sanity(text)
+    return lambda body: _let(F.struct(chars.alias("chars"), sanity.alias("sanity")), lambda m: _let(quality_of(m["chars"], m["sanity"], confidence, t.min_chars), lambda q: body(q, gate_of(m["chars"], m["sanity"], q, confidence, t))))
 
 
-def _nothing() -> Column:
-    """A candidate that isn't there."""
-    values = {"text": F.lit(""), "confidence": F.lit(MISSING_CONFIDENCE), "quality": F.lit(0.0), "gate": F.lit(False), "r_text": F.lit(""), "r_quality": F.lit(0.0), "r_gate": F.lit(False), "codes": F.array().cast("array<string>"), "fidelity": F.lit(0)}
-    return F.struct(*[values[k].alias(k) for k in SCORES])
+def _tried(text: Column, confidence: Column, orientation: Column, dpi: Column, source: str, t: Thresholds) -> Column:
+    """A candidate before its numbers are looked at."""
+    head = (text.alias("text"), confidence.alias("confidence"), orientation.cast("int").alias("orientation"), dpi.cast("int").alias("dpi"), F.lit(source).alias("source"))
+    return _scored(text, confidence, t)(lambda q, gate: F.struct(*head, q.alias("quality"), gate.alias("gate")))
 
 
-def _placed(scores: Column, orientation: Column, dpi: Column, source: str) -> Column:
-    return F.struct(*[scores[k].alias(k) for k in SCORES], orientation.cast("int").alias("orientation"), dpi.cast("int").alias("dpi"), F.lit(source).alias("source"))
+def _repaired(c: Column, t: Thresholds) -> Column:
+    """A candidate with its numbers repaired (r_), and the issues that are left."""
+    head = [c[k].alias(k) for k in ("text", "confidence", "orientation", "dpi", "source", "quality", "gate")]
+    return _let(
+        repair_numbers(c["text"]),
+        lambda r: _scored(r, c["confidence"], t)(
+            lambda q, gate: F.struct(*head, r.alias("r_text"), q.alias("r_quality"), gate.alias("r_gate"), reason_codes(r).alias("codes"), grouped_fidelity(r).alias("fidelity"))
+        ),
+    )
 
 
-def _recognised(orientation: Column, dpi: Column) -> Column:
-    tried = F.try_element_at(F.col("candidates"), (orientation * 10_000 + dpi).cast("int"))
-    m = F.get(F.col("texts"), tried["at"])
-    scores = F.when(tried.isNotNull(), F.struct(*[m[k].alias(k) for k in OF_TEXT], *[tried[k].alias(k) for k in OF_TRY])).otherwise(_nothing())
-    return _placed(scores, orientation, dpi, RECOGNISED)
+def _recognised(orientation: Column, dpi: Column, t: Thresholds) -> Column:
+    """The candidate of an orientation and a resolution; of equal keys the most confident counts, then the greater text."""
+    key = (orientation * 10_000 + dpi).cast("int")
+    best = F.array_max(F.transform(F.filter("candidates", lambda x: x["key"] == key), lambda x: F.struct(x["confidence"].alias("confidence"), x["text"].alias("text"))))
+    found = F.coalesce(best, F.struct(F.lit(MISSING_CONFIDENCE).alias("confidence"), F.lit("").alias("text")))
+    return _let(found, lambda x: _tried(x["text"], x["confidence"], orientation, dpi, RECOGNISED, t))
 
 
 def retry_signals(seed_orientation: Column, metadata_orientation: Column, seed_dpi: Column, t: Thresholds = RUNTIME) -> Column:
@@ -92,23 +85,40 @@ def preferred(new: Column, old: Column) -> Column:
     )
 
 
-def with_candidates(pages: DataFrame, candidates: DataFrame, t: Thresholds) -> DataFrame:
-    """``pages`` with each page's distinct measured ``texts`` and the map of its ``candidates``, each with its text's place; of equal keys the most confident counts, then the greater text.
-
-    A text that several candidates share is moved, measured and kept once.
-    """
+def with_candidates(pages: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``pages`` with the array of each page's ``candidates``: (key, confidence, text)."""
     key = (F.col("orientation") * 10_000 + F.col("dpi")).cast("int")
-    shared = candidates.groupBy("page_id", "text").agg(F.collect_set(F.struct(key.alias("key"), "confidence")).alias("tries"))
-    # written once: a try's expressions would otherwise repeat the measuring of its text
-    once_each = materialize(measured(shared, "text").select("page_id", "m", "tries"), "measured")
-    rows = once_each.select("page_id", "m", F.transform("tries", lambda x: F.struct(x["key"].alias("key"), *_tried(F.col("m"), x["confidence"], t))).alias("tries"))
-    # texts in order, so that of equal confidences the greater place is the greater text
-    pages_of = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("m", "tries"))).alias("found"))
-    placed = F.flatten(F.transform("found", lambda x, i: F.transform(x["tries"], lambda y: F.struct(y["confidence"].alias("confidence"), i.alias("at"), *[y[k].alias(k) for k in ("key", *OF_TRY[1:])]))))
-    pages_of = pages_of.select("page_id", F.transform("found", lambda x: x["m"]).alias("texts"), placed.alias("placed"))
-    keys = F.array_distinct(F.transform("placed", lambda x: x["key"]))
-    best = F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_max(F.filter("placed", lambda x: x["key"] == k))))
-    return pages.join(pages_of.select("page_id", "texts", best.alias("candidates")), "page_id", "left")
+    found = candidates.groupBy("page_id").agg(F.collect_list(F.struct(key.alias("key"), F.col("confidence").cast("double").alias("confidence"), F.coalesce("text", F.lit("")).alias("text"))).alias("candidates"))
+    return pages.join(found, "page_id", "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(found.schema["candidates"].dataType)))
+
+
+def _choice(t: Thresholds) -> Column:
+    """All that is chosen of a page, from its layer_text, orientation and candidates."""
+    own, base_dpi = F.col("orientation"), F.lit(t.base_dpi)
+
+    def retried(seed: Column, swept: Column, high: Column, by_layer: Column) -> Column:
+        second = F.size(seed["codes"]) > 0
+        better = lambda a, c: F.when(preferred(c, a), c).otherwise(a)
+        fold = F.aggregate(
+            F.when(second, retry_signals(seed["orientation"], own, seed["dpi"], t)).otherwise(F.array().cast("array<struct<orientation:int,dpi:int>>")), seed,
+            lambda a, s: F.when(F.size(a["codes"]) > 0, _let(_recognised(s["orientation"], s["dpi"], t), lambda c: _let(_repaired(c, t), lambda r: better(a, r)))).otherwise(a),
+        )
+        return _let(fold, lambda c: F.struct(c.alias("chosen"), seed["codes"].alias("first_codes"), swept.alias("swept"), high.alias("high"), by_layer.alias("by_layer"), second.alias("second_pass")))
+
+    def from_base(base: Column) -> Column:
+        swept = base["quality"] < t.sweep_trigger
+        others = F.filter(F.array(*map(F.lit, ORIENTATIONS)), lambda o: o != own)
+        first_best = F.aggregate(others, base, lambda a, o: _let(_recognised(o, base_dpi, t), lambda c: F.when(c["quality"] > a["quality"], c).otherwise(a)))
+        return _let(F.when(swept, first_best).otherwise(base), lambda turned: from_turned(turned, swept))
+
+    def from_turned(turned: Column, swept: Column) -> Column:
+        high = ~turned["gate"]
+        sharp = _let(_recognised(turned["orientation"], F.lit(t.high_dpi), t), lambda c: F.when(c["quality"] >= turned["quality"], c).otherwise(turned))
+        return _let(F.when(high, sharp).otherwise(turned), lambda c: _let(_repaired(c, t), lambda seed: retried(seed, swept, high, F.lit(False))))
+
+    layer = _tried(F.coalesce("layer_text", F.lit("")), F.lit(LAYER_CONFIDENCE), own, base_dpi, TEXT_LAYER, t)
+    by_layer = lambda c: _let(_repaired(c, t), lambda seed: retried(seed, F.lit(False), F.lit(False), F.lit(True)))
+    return _let(layer, lambda c: F.when((c["text"] != "") & c["gate"], by_layer(c)).otherwise(_let(_recognised(own, base_dpi, t), from_base)))
 
 
 def choose(pages: DataFrame, candidates: DataFrame, t: Thresholds = RUNTIME) -> DataFrame:
@@ -122,34 +132,18 @@ def choose(pages: DataFrame, candidates: DataFrame, t: Thresholds = RUNTIME) ->
     repair. ``first_codes`` are the codes that called for retries. A null or
     blank text layer counts as none, a null orientation as upright.
     """
-    own = pages.select("page_id", *[c for c in ("document_id", "page_number") if c in pages.columns], trim_space("text_layer_text").alias("layer_text"), F.coalesce("orientation", F.lit(0)).cast("int").alias("orientation"))
-    layered = measured(own, "layer_text")
-    layered = layered.select(*own.columns, F.struct(*[F.col("m")[k].alias(k) for k in OF_TEXT], *_tried(F.col("m"), F.lit(LAYER_CONFIDENCE), t)).alias("layer"))
-    df = with_candidates(layered, candidates, t)
-    df = df.withColumn("by_layer", (F.col("layer.text") != "") & F.col("layer.gate"))
-    df = df.withColumn("base", _recognised(F.col("orientation"), F.lit(t.base_dpi)))
-    df = df.withColumn("swept", ~F.col("by_layer") & (F.col("base.quality") < t.sweep_trigger))
-    others = F.array(*[F.when(F.lit(o) != F.col("orientation"), _recognised(F.lit(o), F.lit(t.base_dpi))) for o in ORIENTATIONS])
-    first_best = F.aggregate(F.array_compact(others), F.col("base"), lambda a, c: F.when(c["quality"] > a["quality"], c).otherwise(a))
-    df = df.withColumn("turned", F.when(F.col("swept"), first_best).otherwise(F.col("base")))
-    df = df.withColumn("high", ~F.col("by_layer") & ~F.col("turned.gate")).withColumn("sharp", _recognised(F.col("turned.orientation"), F.lit(t.high_dpi)))
-    layer = _placed(F.col("layer"), F.col("orientation"), F.lit(t.base_dpi), TEXT_LAYER)
-    seed = F.when(F.col("by_layer"), layer).when(F.col("high") & (F.col("sharp.quality") >= F.col("turned.quality")), F.col("sharp")).otherwise(F.col("turned"))
-    df = df.withColumn("seed", seed).withColumn("second_pass", F.size("seed.codes") > 0)
-    signals = retry_signals(F.col("seed.orientation"), F.col("orientation"), F.col("seed.dpi"), t)
-    retries = F.when(F.col("second_pass"), F.transform(signals, lambda s: _recognised(s["orientation"], s["dpi"]))).otherwise(F.array())
-    last = F.aggregate(retries, F.col("seed"), lambda a, c: F.when((F.size(a["codes"]) > 0) & preferred(c, a), c).otherwise(a))
-    df = df.withColumn("chosen", last)
+    kept = [c for c in ("document_id", "page_number") if c in pages.columns]
+    own = pages.select("page_id", *kept, trim_space("text_layer_text").alias("layer_text"), F.coalesce("orientation", F.lit(0)).cast("int").alias("orientation"))
+    df = with_candidates(own, candidates).select("page_id", *kept, _choice(t).alias("of")).select("page_id", *kept, "of.*")
     error = F.when(~F.col("chosen.r_gate"), "quality_gate_failed").when(trim_space("chosen.r_text") == "", "no_candidate")
     source = F.when(F.col("by_layer"), F.col("chosen.source")).otherwise(F.lit(RECOGNISED))
     high = F.when(F.col("by_layer"), F.col("chosen.source") == RECOGNISED).otherwise(F.col("high") | (F.col("chosen.dpi") >= t.high_dpi))
-    kept = [c for c in ("document_id", "page_number") if c in pages.columns]
     out = df.select(
         "page_id", *kept, F.col("chosen.r_text").alias("text"), F.col("chosen.text").alias("raw_text"), F.col("chosen.r_quality").alias("quality"), F.col("chosen.confidence").alias("confidence"),
         F.col("chosen.orientation").alias("orientation"), F.col("chosen.dpi").alias("dpi"), source.alias("source"), "swept", high.alias("retried_high_dpi"), "second_pass",
-        F.col("chosen.codes").alias("reason_codes"), F.col("seed.codes").alias("first_codes"), error.alias("error"),
+        F.col("chosen.codes").alias("reason_codes"), "first_codes", error.alias("error"),
     )
-    # written once: a filter pushed into this chain would unfold it to a tree of a thousand comparisons
+    # written once: a filter pushed into this chain would run it again
     return materialize(out, "chosen")
 
 

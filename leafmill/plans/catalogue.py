@@ -277,30 +277,102 @@ def _confidence(o, d):
 
 
 def _candidate_table(spark, folder) -> tuple[DataFrame, DataFrame]:
-    """Pages and their candidates, all with the whole text. Pages whose id divides by 3 have it as their text layer too; the candidates of a page differ in confidence."""
+    """Pages and their candidates, all with whole texts.
+
+    Pages whose id divides by 3 have their text as text layer too. By id,
+    orientation and resolution, a candidate is the text, or the text with a
+    misread digit, a doubled comma or a doubled stop, or empty; confidences
+    differ likewise.
+    """
     own = _documents(spark, folder).select("doc_id", "text")
     layer = F.when(F.pmod("doc_id", F.lit(3)) == 0, F.col("text"))
     pages = own.select(F.col("doc_id").cast("string").alias("page_id"), layer.alias("text_layer_text"), ((F.col("doc_id") % 4) * 90).cast("int").alias("orientation"))
     tries = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(d).alias("d")) for o, d in [*((o, 180) for o in candidates.ORIENTATIONS), *((o, 320) for o in candidates.ORIENTATIONS), *((o, 390) for o in candidates.ORIENTATIONS)]])
     rows = own.select("doc_id", "text", F.explode(tries).alias("s")).select("doc_id", "text", "s.*")
-    made = rows.select(F.col("doc_id").cast("string").alias("page_id"), F.col("o").alias("orientation"), F.col("d").alias("dpi"), "text", _confidence(F.col("o"), F.col("d")).alias("confidence"))
+    kind = F.pmod(F.col("doc_id") + F.expr("o div 90") + F.col("d"), F.lit(5))
+    form = F.when(kind == 0, F.col("text")).when(kind == 1, F.replace("text", F.lit("1"), F.lit("l"))).when(kind == 2, F.replace("text", F.lit(","), F.lit(",,"))).when(kind == 3, F.replace("text", F.lit("."), F.lit(".."))).otherwise("")
+    made = rows.select(F.col("doc_id").cast("string").alias("page_id"), F.col("o").alias("orientation"), F.col("d").alias("dpi"), form.alias("text"), _confidence(F.col("o"), F.col("d")).alias("confidence"))
     return pages, made
 
 
-@query()
+# each form of a text is measured once, before (raw) and after its numbers are repaired; then the rules follow step by step
+_CHARS = "length_grapheme(replace(text, chr(13) || chr(10), chr(10)))"
+_FIDELITY = rf"(SELECT greatest(len(regexp_extract_all(t, '{_B0}\p{{Nd}}{{1,3}}(?:,\p{{Nd}}{{3}})+{_B1}')) - len(regexp_extract_all(t, '{_B0}\p{{Nd}}{{1,3}},\p{{Nd}}{{1,2}}{_B1}')), 0) FROM (SELECT {_APART} AS t))"
+_Q = "(CASE WHEN {p}chars = 0 THEN 0.0::DOUBLE ELSE 0.45::DOUBLE * least(1.0::DOUBLE, {p}chars / 40.0::DOUBLE) + 0.35::DOUBLE * {c} + 0.20::DOUBLE * {p}sanity END)"
+_PASS = "({p}chars >= 40 AND {c} >= 0.20 AND {p}sanity >= 0.40 AND {q} >= 0.45)"
+_TRY_FIELDS = "m.raw, m.rep, m.codes, m.fidelity, m.blank"
+
+
+def _measured_sql(c: str) -> str:
+    """The fields of a try of confidence ``c``, from the form ``m``."""
+    q, r = _Q.format(p="m.", c=c), _Q.format(p="m.r_", c=c)
+    return f"{{{{'raw': m.raw, 'rep': m.rep, 'codes': m.codes, 'fid': m.fidelity, 'blank': m.blank, 'c': {c}, 'q': {q}, 'gate': {_PASS.format(p='m.', c=c, q=q)}, 'rq': {r}, 'rgate': {_PASS.format(p='m.r_', c=c, q=r)}, 'o': {{o}}, 'd': {{d}}, 'src': {{src}}}}}}"
+
+
+def _try_sql(o: str, d: str) -> str:
+    """The try of an orientation and a resolution of page ``p``, by the measured forms of its text."""
+    c = f"(((p.doc_id * 7 + ({o}) * 3 + {d}) % 100) / 100.0)::DOUBLE"
+    return f"(SELECT {_measured_sql(c).format(o=f'({o})::INT', d=f'{d}::INT', src=chr(39) + 'vision_ocr' + chr(39))} FROM m WHERE m.doc_id = p.doc_id AND m.k = (p.doc_id + ({o}) // 90 + {d}) % 5)"
+
+
+def _better_sql(n: str, a: str) -> str:
+    return f"(CASE WHEN {n}.blank THEN false WHEN {a}.blank THEN true WHEN {n}.rq + 0.05::DOUBLE < {a}.rq THEN false WHEN len({n}.codes) <> len({a}.codes) THEN len({n}.codes) < len({a}.codes) WHEN {n}.fid <> {a}.fid THEN {n}.fid > {a}.fid WHEN {n}.rq <> {a}.rq THEN {n}.rq > {a}.rq ELSE {n}.c > {a}.c END)"
+
+
+def _chosen_sql() -> str:
+    steps = [
+        "docs AS (SELECT doc_id, text, ((doc_id % 4) * 90)::INT AS own FROM documents WHERE text IS NOT NULL)",
+        "forms AS (SELECT doc_id, 0 AS k, text FROM docs UNION ALL SELECT doc_id, 1, replace(text, '1', 'l') FROM docs UNION ALL SELECT doc_id, 2, replace(text, ',', ',,') FROM docs UNION ALL SELECT doc_id, 3, replace(text, '.', '..') FROM docs UNION ALL SELECT doc_id, 4, '' FROM docs "
+        f"UNION ALL SELECT doc_id, 9, {_T} FROM docs WHERE doc_id % 3 = 0)",
+        f"raws AS MATERIALIZED (SELECT doc_id, k, text AS raw, {_CHARS} AS chars, ({_SANITY})::DOUBLE AS sanity, {_REPAIRED} AS rep FROM forms)",
+        f"m AS MATERIALIZED (SELECT doc_id, k, raw, chars, sanity, text AS rep, {_CHARS} AS r_chars, ({_SANITY})::DOUBLE AS r_sanity, {_CODES} AS codes, {_FIDELITY} AS fidelity, {_T} = '' AS blank FROM (SELECT doc_id, k, raw, chars, sanity, rep AS text FROM raws))",
+        f"s0 AS (SELECT p.*, (SELECT {_measured_sql('0.99::DOUBLE').format(o='p.own', d='180::INT', src=chr(39) + 'text_layer' + chr(39))} FROM m WHERE m.doc_id = p.doc_id AND m.k = 9 AND m.raw <> '') AS layer FROM docs p)",
+        f"s1 AS MATERIALIZED (SELECT p.*, coalesce(p.layer.gate, false) AS by_layer, {_try_sql('p.own', '180')} AS base, {', '.join(f'{_try_sql(str(o), str(180))} AS t{o}' for o in candidates.ORIENTATIONS)} FROM s0 p)",
+        "s2 AS (SELECT *, NOT by_layer AND base.q < 0.60 AS swept FROM s1)",
+    ]
+    at, n = "s2", 2
+    best = "base"
+    # the first best of the other orientations
+    for o in candidates.ORIENTATIONS:
+        n += 1
+        steps.append(f"s{n} AS (SELECT *, CASE WHEN swept AND own <> {o} AND t{o}.q > {best}.q THEN t{o} ELSE {best} END AS b{o} FROM {at})")
+        at, best = f"s{n}", f"b{o}"
+    steps += [
+        f"h0 AS (SELECT *, {best} AS turned, NOT by_layer AND NOT {best}.gate AS high FROM {at})",
+        f"h1 AS (SELECT p.*, {_try_sql('p.turned.o', '320')} AS sharp FROM h0 p)",
+        "h2 AS (SELECT *, CASE WHEN by_layer THEN layer WHEN high AND sharp.q >= turned.q THEN sharp ELSE turned END AS seed FROM h1)",
+        "h3 AS (SELECT *, len(seed.codes) > 0 AS second_pass, (CASE WHEN own <> seed.o THEN own ELSE (seed.o + 90) % 360 END)::INT AS o2 FROM h2)",
+        f"r0 AS MATERIALIZED (SELECT p.*, {_try_sql('p.seed.o', '320')} AS n1, {_try_sql('p.o2', '390')} AS n2 FROM h3 p)",
+        f"r1 AS (SELECT *, CASE WHEN second_pass AND {_better_sql('n1', 'seed')} THEN n1 ELSE seed END AS a1 FROM r0)",
+        f"r2 AS (SELECT *, CASE WHEN second_pass AND len(a1.codes) > 0 AND {_better_sql('n2', 'a1')} THEN n2 ELSE a1 END AS chosen FROM r1)",
+        "chosen AS (SELECT doc_id::VARCHAR AS page_id, chosen.rep AS text, chosen.rq AS quality, chosen.c AS confidence, chosen.o AS orientation, chosen.d AS dpi, CASE WHEN by_layer THEN chosen.src ELSE 'vision_ocr' END AS source, swept, "
+        "CASE WHEN by_layer THEN chosen.src = 'vision_ocr' ELSE high OR chosen.d >= 320 END AS retried_high_dpi, second_pass, chosen.codes AS reason_codes, seed.codes AS first_codes, CASE WHEN NOT chosen.rgate THEN 'quality_gate_failed' WHEN chosen.blank THEN 'no_candidate' END AS error FROM r2)",
+    ]
+    return "WITH " + ", ".join(steps) + " "
+
+
+_CHOSEN = _chosen_sql()
+
+
+@query(_CHOSEN + "SELECT page_id, text, round(quality, 6) AS quality, orientation, dpi, source, swept, retried_high_dpi, second_pass, reason_codes, error FROM chosen")
 def choose_candidates(spark, folder):
     chosen = candidates.choose(*_candidate_table(spark, folder))
     return chosen.select("page_id", "text", F.round("quality", 6).alias("quality"), "orientation", "dpi", "source", "swept", "retried_high_dpi", "second_pass", "reason_codes", "error")
 
 
-@query()
+@query(
+    _CHOSEN + "SELECT 1::INT AS run_id, page_id, 'numeric_sanity' AS stage, 'warning' AS severity, unnest(first_codes) AS reason_code, 'suspicious number; further candidates were tried' AS message FROM chosen "
+    "UNION ALL SELECT 1::INT, page_id, 'quality_gate', 'error', error, 'no candidate was good enough' FROM chosen WHERE error IS NOT NULL"
+)
 def candidate_errors(spark, folder):
-    return candidates.error_records(candidates.choose(*_candidate_table(spark, folder)), 1)
+    return candidates.error_records(candidates.choose(*_candidate_table(spark, folder)), 1).drop("context")
 
 
-@query()
+@query(_CHOSEN + "SELECT page_id, source, orientation::VARCHAR AS orientation, dpi::VARCHAR AS dpi, array_to_string(reason_codes, ',') AS numeric_reason_codes, round(confidence, 6) AS confidence FROM chosen")
 def result_metadata(spark, folder):
-    return candidates.result_metadata(candidates.choose(*_candidate_table(spark, folder))).select("page_id", F.to_json("metadata").alias("metadata"))
+    """The entries of each page's metadata; the quality, a number as text, is compared in ``choose_candidates``."""
+    made = candidates.result_metadata(candidates.choose(*_candidate_table(spark, folder)))
+    return made.select("page_id", *[F.col("metadata")[k].alias(k) for k in ("source", "orientation", "dpi", "numeric_reason_codes")], F.round("confidence", 6).alias("confidence"))
 
 
 @query(

@@ -81,10 +81,47 @@ def test_queries_choose_from_whole_texts(spark, data):
     texts = {str(r.doc_id): r.text for r in catalogue.table(spark, data, "documents").where("text IS NOT NULL").collect()}
     assert any(len(x) > 400 for x in texts.values())
     pages, made = catalogue._candidate_table(spark, data)
-    assert all(r.text == texts[r.page_id] for r in made.collect())
+    forms = lambda t: {t, t.replace("1", "l"), t.replace(",", ",,"), t.replace(".", ".."), ""}
+    assert all(r.text in forms(texts[r.page_id]) for r in made.collect())
     chosen = candidates.choose(pages, made).collect()
     trimmed = {r.page_id: r.layer for r in pages.select("page_id", trim_space("text_layer_text").alias("layer")).collect()}
-    assert all(r.raw_text == (trimmed[r.page_id] if r.source == "text_layer" else texts[r.page_id]) for r in chosen if r.error is None)
+    assert all(r.raw_text == trimmed[r.page_id] if r.source == "text_layer" else r.raw_text in forms(texts[r.page_id]) for r in chosen if r.error is None)
     # both branches, and a text layer that sets off retries
     assert {r.source for r in chosen} == {"text_layer", "vision_ocr"}
     assert any(r.second_pass and r.source == "text_layer" for r in chosen)
+    # and every rule decides somewhere
+    assert any(r.swept for r in chosen) and any(r.retried_high_dpi for r in chosen) and any(r.dpi == 390 for r in chosen)
+
+
+def test_a_suspicious_layer_is_recognised_again(spark):
+    layer = "Total Assets: - 22,765.4.3 KD'000s " * 4
+    r = choose(spark, [(0, 320, GOOD, 0.91)], layer).first()
+    assert (r.source, r.second_pass, list(r.reason_codes), r.dpi) == ("vision_ocr", True, [], 320) and r.first_codes
+
+
+def test_a_glyph_is_put_right_by_repair(spark):
+    r = choose(spark, [(0, 180, "Operating income of the year 58l,6Z3 and net 69,829 " * 4, 0.88)]).first()
+    assert "581,623" in r.text and "58l,6Z3" in r.raw_text and not r.reason_codes
+
+
+def test_two_retries_where_the_metadata_is_turned(spark):
+    # nothing at the metadata's orientation: the sweep finds the upright one, retries take turns
+    found = [(0, 180, NOISY, 0.88), (0, 320, NOISY, 0.91), (90, 390, GOOD, 0.92)]
+    r = choose(spark, found, orientation=90).first()
+    assert (r.swept, r.second_pass, r.orientation, r.dpi, list(r.reason_codes)) == (True, True, 90, 390, [])
+
+
+def test_codes_remain_where_all_candidates_are_noisy(spark):
+    r = choose(spark, [(0, 180, NOISY, 0.88), (0, 320, NOISY, 0.91), (90, 390, NOISY, 0.92)], orientation=90).first()
+    assert r.second_pass and r.reason_codes and list(r.first_codes) == list(r.reason_codes) and r.error is None
+
+
+def test_ids_go_through(spark):
+    pages = spark.createDataFrame([("p", 17, 12, None, 0)], "page_id string, document_id bigint, page_number int, text_layer_text string, orientation int")
+    out = candidates.choose(pages, spark.createDataFrame([("p", 0, 180, NOISY, 0.92)], "page_id string, orientation int, dpi int, text string, confidence double"))
+    assert (out.first().document_id, out.first().page_number) == (17, 12)
+    assert {(r.run_id, r.page_id, r.severity) for r in candidates.error_records(out, 11).collect()} == {(11, "p", "warning")}
+
+
+def test_the_rendering_serves_every_try():
+    assert candidates.render_dpi() == 640 and candidates.render_dpi(dataclasses.replace(LIBRARY, max_dpi=300)) == 320

@@ -91,7 +91,9 @@ def escape_html(c: Column | str) -> Column:
 
 
 def page_caption(method: Column, quality: Column, dpi: Column, status: Column) -> Column:
-    return F.concat_ws(" • ", method, F.concat(F.lit("q="), F.format_string("%.3f", quality)), F.concat(F.lit("dpi="), dpi), status)
+    """The parts with bullets between; what is null is left out, and a score of NaN is ``nan``."""
+    score = F.when(F.isnan(quality), "nan").when(quality.isNotNull(), F.format_string("%.3f", quality))
+    return F.concat_ws(" • ", method, F.concat(F.lit("q="), score), F.concat(F.lit("dpi="), dpi), status)
 
 
 def utc_stamp(c: Column | str) -> Column:

@@ -57,17 +57,33 @@ def fetch_pages(pages: DataFrame, document_id: int) -> DataFrame:
     return page_views(pages.where(F.col("document_id") == document_id)).orderBy("page_number", "id")
 
 
-def document_texts(pages: DataFrame) -> DataFrame:
-    """Per document: clean_text and raw_text, pages in order with a blank line between, empty ones left out, and page statistics.
+#: Pages of a part of a document's text.
+PART_PAGES = 1000
+
 
-    A document's text is one value, so its pages meet; their number is what
-    the document has.
+def document_parts(pages: DataFrame) -> DataFrame:
+    """(document_id, part_no, clean_text, raw_text): the texts of a document's pages in order, PART_PAGES page numbers at a time.
+
+    It suits documents of any number of pages: no task holds all of one.
     """
     view = page_views(pages)
     part = F.array_sort(F.collect_list(F.struct("page_number", "id", F.col("normalized_text_content").alias("clean"), F.col("text_content").alias("raw"))))
     joined = lambda c: F.array_join(F.filter(F.transform("parts", lambda p: p[c]), lambda t: t.isNotNull() & (t != "")), "\n\n")
-    texts = view.groupBy("document_id").agg(part.alias("parts")).select("document_id", joined("clean").alias("clean_text"), joined("raw").alias("raw_text"))
-    return texts.join(page_statistics(view), "document_id")
+    number = F.coalesce(F.floor(F.col("page_number") / PART_PAGES), F.lit(-1)).alias("part_no")
+    return view.groupBy("document_id", number).agg(part.alias("parts")).select("document_id", "part_no", joined("clean").alias("clean_text"), joined("raw").alias("raw_text"))
+
+
+def document_texts(pages: DataFrame) -> DataFrame:
+    """Per document: clean_text and raw_text, pages in order with a blank line between, empty ones left out, and page statistics.
+
+    The pages are put together in parts, and only these meet: a document's
+    text is one value, which must fit into one (2 GB); ``document_parts`` has
+    no such bound.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("part_no", "clean_text", "raw_text")))
+    joined = lambda c: F.array_join(F.filter(F.transform("parts", lambda p: p[c]), lambda t: t != ""), "\n\n").alias(c)
+    texts = document_parts(pages).groupBy("document_id").agg(parts.alias("parts")).select("document_id", joined("clean_text"), joined("raw_text"))
+    return texts.join(page_statistics(page_views(pages)), "document_id")
 
 
 def structured_documents(documents: DataFrame, pages: DataFrame) -> DataFrame:

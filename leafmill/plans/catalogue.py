@@ -99,9 +99,12 @@ def normalize_text(spark, folder):
     return _documents(spark, folder).select("doc_id", text.normalize_text("text").alias("normalized"))
 
 
-@query()
+@query(
+    "SELECT doc_id, (a // 10000 + CASE WHEN a % 10000 > 0 THEN 1 ELSE 0 END)::BIGINT AS chunks FROM (SELECT doc_id, list_reduce(list_prepend(0::BIGINT, list_transform(regexp_extract_all(t, '(?s).'), lambda x: strlen(x))), "
+    f"lambda a, x: CASE WHEN a % 10000 + x >= 1200 THEN (a // 10000 + 1) * 10000 ELSE a + x END) AS a FROM (SELECT doc_id, {_T} AS t FROM documents WHERE text IS NOT NULL))"
+)
 def chunk_count(spark, folder):
-    return _documents(spark, folder).select("doc_id", text.chunk_count("text").alias("chunks"))
+    return _documents(spark, folder).select("doc_id", text.chunk_count("text").cast("bigint").alias("chunks"))
 
 
 @query("SELECT doc_id, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM documents WHERE text IS NOT NULL")
@@ -123,9 +126,9 @@ def safe_names(spark, folder):
     return once(table(spark, folder, "source_documents")).select("id", text.safe_pdf_name("source_url", "source_sha256").alias("name"))
 
 
-@query("SELECT DISTINCT id, concat_ws(' • ', extraction_method, 'q=' || printf('%.3f', quality_score), 'dpi=' || dpi, coalesce(numeric_sanity_status, 'clean')) AS caption FROM pages WHERE quality_score BETWEEN 0 AND 1 AND NOT isnan(quality_score)")
+@query("SELECT DISTINCT id, concat_ws(' • ', extraction_method, 'q=' || CASE WHEN isnan(quality_score) THEN 'nan' ELSE printf('%.3f', quality_score) END, 'dpi=' || dpi, coalesce(numeric_sanity_status, 'clean')) AS caption FROM pages")
 def page_captions(spark, folder):
-    pages = once(table(spark, folder, "pages").where("quality_score BETWEEN 0 AND 1 AND NOT isnan(quality_score)"))
+    pages = once(table(spark, folder, "pages").select("id", "extraction_method", "quality_score", "dpi", "numeric_sanity_status"))
     return pages.select("id", text.page_caption(F.col("extraction_method"), F.col("quality_score"), F.col("dpi"), F.coalesce("numeric_sanity_status", F.lit("clean"))).alias("caption"))
 
 
@@ -380,12 +383,13 @@ def result_metadata(spark, folder):
     "SELECT doc_id, arg_max(o, confidence * 1000 - turn)::INT AS orientation FROM c GROUP BY doc_id"
 )
 def sweep_orientations(spark, folder):
-    """The first of the most confident orientations, the page's own first: a fold in the order of the sweep."""
-    own = _documents(spark, folder).select("doc_id", ((F.col("doc_id") % 4) * 90).cast("int").alias("own"))
-    tries = F.filter(F.array(F.col("own"), *[F.lit(o) for o in candidates.ORIENTATIONS]), lambda o, i: (i == 0) | (o != F.col("own")))
-    scored = F.transform(tries, lambda o: F.struct(_confidence(o, F.lit(180)).alias("c"), o.alias("o")))
-    first = F.aggregate(F.slice(scored, 2, 4), F.get(scored, F.lit(0)), lambda a, x: F.when(x["c"] > a["c"], x).otherwise(a))
-    return own.select("doc_id", first["o"].alias("orientation"))
+    """The first of the most confident orientations, the page's own first: all that a sweep compares where texts are alike."""
+    own = _documents(spark, folder).select("doc_id")
+    pages = own.select(F.col("doc_id").alias("page_id"), F.lit(None).cast("string").alias("text_layer_text"), ((F.col("doc_id") % 4) * 90).cast("int").alias("orientation"))
+    tries = own.select("doc_id", F.explode(F.array(*map(F.lit, candidates.ORIENTATIONS))).alias("o"))
+    made = tries.select(F.col("doc_id").alias("page_id"), F.col("o").alias("orientation"), F.lit(180).alias("dpi"), F.lit("a line of text that is long enough to be read").alias("text"), _confidence(F.col("o"), F.lit(180)).alias("confidence"))
+    always = quality.Thresholds(min_chars=40, min_confidence=0.0, min_sanity=0.0, min_quality=0.0, sweep_trigger=2.0)
+    return candidates.choose(pages, made, always).select(F.col("page_id").alias("doc_id"), "orientation")
 
 
 @query(
@@ -399,12 +403,18 @@ def retry_signals(spark, folder):
     return own.select("doc_id", F.col("s.orientation").alias("orientations"), F.col("s.dpi").alias("dpis"))
 
 
-@query(
-    "SELECT extraction_method, round(avg(confidence), 6) AS mean_confidence, count(*) AS n FROM (SELECT DISTINCT id, extraction_method, confidence FROM pages WHERE confidence IS NOT NULL AND NOT isnan(confidence)) GROUP BY extraction_method"
-)
+@query("SELECT doc_id, text, round(list_avg(list_transform(string_split(text, chr(10)), lambda x: (length(x) % 100) / 100.0)), 6) AS confidence FROM documents WHERE text IS NOT NULL")
 def mean_confidences(spark, folder):
-    pages = once(table(spark, folder, "pages").select("id", "extraction_method", "confidence").where("confidence IS NOT NULL AND NOT isnan(confidence)"))
-    return pages.groupBy("extraction_method").agg(F.round(F.avg("confidence"), 6).alias("mean_confidence"), F.count("*").alias("n"))
+    """A recogniser that reads the lines of a text, each with a confidence by its length: a page has their mean."""
+    from ..sources.pdf import recognise
+
+    images = _documents(spark, folder).select(F.col("doc_id").cast("string").alias("page_id"), F.encode("text", "UTF-8").alias("image"), F.array(F.lit("en")).alias("languages"))
+
+    def read(image, orientation, dpi, languages):
+        lines = image.decode().split("\n")
+        return lines, [len(x) % 100 / 100 for x in lines]
+
+    return recognise(images, read, [(0, 180)]).select(F.col("page_id").cast("bigint").alias("doc_id"), "text", F.round("confidence", 6).alias("confidence"))
 
 
 # ---- embeddings
@@ -420,7 +430,14 @@ def embedding_slots(spark, folder):
     return embedding.slot_means(_documents(spark, folder), "doc_id", "text").select("doc_id", "slot", F.round("value", 6).alias("value"))
 
 
-@query()
+_BYTE = "('0x' || substr(hex(encode(t)), (2 * i + 1)::BIGINT, 2))::INT"
+_SLOT = f"coalesce(list_reduce(list_transform(range(s, strlen(t), 16), lambda i: ({_BYTE} - 127)::FLOAT / 127::FLOAT), lambda a, x: a + x), 0::FLOAT) * (1::FLOAT / strlen(t)::FLOAT)"
+
+
+@query(
+    "SELECT doc_id, 'deterministic-hash-v1' AS model_version, CASE WHEN t = '' THEN list_transform(range(16), lambda s: 0::FLOAT) WHEN len(list_filter(v, lambda x: x <> 0)) = 0 THEN list_transform(range(16), lambda s: (CASE WHEN s = 0 THEN 1 ELSE 0 END)::FLOAT) ELSE v END AS vector, "
+    f"CASE WHEN t = '' THEN 'empty_text' END AS embedding_error, NULL::INT AS bad_index FROM (SELECT doc_id, t, list_transform(range(16), lambda s: CASE WHEN strlen(t) > s THEN {_SLOT} ELSE 0::FLOAT END) AS v FROM (SELECT doc_id, {_T} AS t FROM documents WHERE text IS NOT NULL))"
+)
 def embed_documents(spark, folder):
     out = embedding.embed_pages(_documents(spark, folder).select("doc_id", "text"))
     return out.select("doc_id", "model_version", "vector", "embedding_error", "bad_index")
@@ -532,29 +549,35 @@ def complete_documents(spark, folder):
 # ---- the store: the tables as they are delivered are upserted by the later row
 
 
-_DOC_COLUMNS = "source_sha256, source_filename, source_label, document_title"
-
-
-@query(f"SELECT source_sha256, arg_max(source_filename, seq) AS source_filename, count(*) AS deliveries FROM (SELECT source_sha256, coalesce(source_filename, '') AS source_filename, updated_at AS seq FROM source_documents) GROUP BY source_sha256")
+@query(
+    "WITH d AS (SELECT *, row_number() OVER (PARTITION BY source_sha256 ORDER BY updated_at DESC) AS r FROM source_documents WHERE source_sha256 IS NOT NULL), a AS (SELECT *, id % 2 = 0 AS early FROM d WHERE r = 1), "
+    "n AS (SELECT *, row_number() OVER (PARTITION BY early ORDER BY source_sha256) AS k FROM a) "
+    "SELECT (CASE WHEN early THEN k ELSE k + (SELECT count(*) FROM a WHERE early) END)::BIGINT AS id, source_url, source_sha256, source_filename, source_label, document_title, source_unit, CASE WHEN early THEN TIMESTAMP '2001-01-01' ELSE created_at END AS created_at, updated_at FROM n"
+)
 def upsert_documents(spark, folder):
-    """The earlier half is stored, the later one upserted; ids stay and are unique."""
-    own = table(spark, folder, "source_documents").withColumn("source_filename", F.coalesce("source_filename", F.lit(""))).withColumn("seq", F.col("updated_at"))
-    cut = own.agg(F.percentile_approx(F.unix_micros("updated_at"), 0.5)).first()[0]
+    """Documents of even ids are stored with another label and time of creation, then all are upserted: ids and times stay, other columns are as they come, nulls too."""
+    own = table(spark, folder, "source_documents").withColumn("seq", F.col("updated_at"))
     names = ["source_url", "source_sha256", "source_filename", "source_label", "document_title", "source_unit", "created_at", "updated_at", "seq"]
     documents = store.TABLES["documents"]
-    empty = spark.createDataFrame([], documents.schema)
-    early = store.merge(empty, own.where(F.unix_micros("updated_at") <= cut).select(*names), documents)
-    merged = store.merge(early, own.where(F.unix_micros("updated_at") > cut).select(*names), documents)
-    counts = own.groupBy("source_sha256").agg(F.count("*").alias("deliveries"))
-    return merged.select("source_sha256", "source_filename").join(counts, "source_sha256")
+    early = own.where("id % 2 = 0").withColumn("source_label", F.lit("before")).withColumn("created_at", F.lit("2001-01-01 00:00:00").cast("timestamp"))
+    first = store.merge(spark.createDataFrame([], documents.schema), early.select(*names), documents)
+    return store.merge(first, own.select(*names), documents)
+
 
+_PAGE_COLUMNS = "document_id, page_number, ocr_version, extraction_method, orientation_degrees, dpi, confidence, text_content, normalized_text_content, numeric_sanity_status, created_at, updated_at"
 
-@query("SELECT document_id, page_number, ocr_version, arg_max(dpi, seq) AS dpi FROM (SELECT document_id, page_number, ocr_version, dpi, updated_at AS seq FROM pages) GROUP BY ALL")
+
+@query(
+    "WITH p AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number, ocr_version ORDER BY updated_at DESC) AS r FROM pages), a AS (SELECT *, ocr_version = 'engine-r1' AS early FROM p WHERE r = 1), "
+    "n AS (SELECT *, row_number() OVER (PARTITION BY early ORDER BY document_id, page_number, ocr_version) AS k FROM a) "
+    f"SELECT (CASE WHEN early THEN k ELSE k + (SELECT count(*) FROM a WHERE early) END)::BIGINT AS id, {_PAGE_COLUMNS} FROM n"
+)
 def upsert_pages(spark, folder):
+    """Pages of one version are stored without their texts, then all are upserted."""
     own = table(spark, folder, "pages").withColumn("seq", F.col("updated_at")).drop("id", "language_hints")
     pages = store.TABLES["pages"]
-    first = store.merge(spark.createDataFrame([], pages.schema), own.where("ocr_version = 'engine-r1'"), pages)
-    return store.merge(first, own, pages).select("document_id", "page_number", "ocr_version", "dpi")
+    first = store.merge(spark.createDataFrame([], pages.schema), own.where("ocr_version = 'engine-r1'").withColumn("normalized_text_content", F.lit("before")), pages)
+    return store.merge(first, own, pages).select("id", *_PAGE_COLUMNS.split(", "))
 
 
 @query("SELECT page_id, model_version, max(created_at) AS created_at FROM page_embeddings GROUP BY ALL")
@@ -582,12 +605,11 @@ def constraint_violations(spark, folder):
 # ---- reading
 
 _D, _P = "(SELECT DISTINCT * FROM source_documents)", "(SELECT DISTINCT ON (id) * FROM pages)"
-_STATS = f"SELECT document_id, count(*) AS page_count, sum(CASE WHEN coalesce(numeric_sanity_status, 'clean') <> 'clean' THEN 1 ELSE 0 END)::BIGINT AS warning_count, round(coalesce(avg(quality_score), 0), 6) AS average_quality FROM {_P} WHERE NOT coalesce(isnan(quality_score), false) GROUP BY document_id"
+_STATS = f"SELECT document_id, count(*) AS page_count, sum(CASE WHEN coalesce(numeric_sanity_status, 'clean') <> 'clean' THEN 1 ELSE 0 END)::BIGINT AS warning_count, round(coalesce(avg(quality_score) FILTER (NOT isnan(quality_score)), 0), 6) AS average_quality FROM {_P} GROUP BY document_id"
 
 
 def _tables(spark, folder):
-    pages = once(table(spark, folder, "pages"))
-    return once(table(spark, folder, "source_documents")), pages.where(~F.coalesce(F.isnan("quality_score"), F.lit(False)))
+    return once(table(spark, folder, "source_documents")), once(table(spark, folder, "pages"))
 
 
 @query(
@@ -609,26 +631,34 @@ def fetch_document(spark, folder):
     return reads.fetch_document(documents, id=last).select("id", "source_sha256", "title")
 
 
-@query(f"SELECT id, page_number, coalesce(numeric_sanity_status, 'clean') AS numeric_sanity_status, coalesce(normalized_text_content, text_content) AS normalized_text_content FROM {_P} WHERE document_id = 1 AND NOT coalesce(isnan(quality_score), false)")
+@query(f"SELECT id, page_number, coalesce(numeric_sanity_status, 'clean') AS numeric_sanity_status, coalesce(normalized_text_content, text_content) AS normalized_text_content FROM {_P} WHERE document_id = 1")
 def fetch_pages(spark, folder):
     _, pages = _tables(spark, folder)
     return reads.fetch_pages(pages, 1).select("id", "page_number", "numeric_sanity_status", "normalized_text_content")
 
 
 @query(
-    f"SELECT document_id, coalesce(string_agg(clean, chr(10) || chr(10) ORDER BY page_number, id) FILTER (clean <> ''), '') AS clean_text, coalesce(string_agg(raw, chr(10) || chr(10) ORDER BY page_number, id) FILTER (raw <> ''), '') AS raw_text FROM (SELECT id, document_id, page_number, text_content AS raw, coalesce(normalized_text_content, text_content) AS clean FROM {_P} WHERE NOT coalesce(isnan(quality_score), false)) GROUP BY document_id"
+    f"SELECT document_id, coalesce(string_agg(clean, chr(10) || chr(10) ORDER BY page_number, id) FILTER (clean <> ''), '') AS clean_text, coalesce(string_agg(raw, chr(10) || chr(10) ORDER BY page_number, id) FILTER (raw <> ''), '') AS raw_text FROM (SELECT id, document_id, page_number, text_content AS raw, coalesce(normalized_text_content, text_content) AS clean FROM {_P}) GROUP BY document_id"
 )
 def document_texts(spark, folder):
     return reads.document_texts(_tables(spark, folder)[1]).select("document_id", "clean_text", "raw_text")
 
 
-@query()
+@query(
+    "SELECT d.id, coalesce(d.document_title, d.source_filename, 'Untitled') AS title, d.source_sha256 AS sha256, coalesce(p.page_ids, []) AS page_ids, coalesce(p.scores, []) AS scores, coalesce(p.statuses, []) AS statuses, coalesce(p.texts, []) AS texts "
+    f"FROM {_D} d LEFT JOIN (SELECT document_id, list(id ORDER BY page_number, id) AS page_ids, list(round(CASE WHEN NOT isnan(quality_score) THEN quality_score END, 6) ORDER BY page_number, id) AS scores, "
+    f"list(coalesce(numeric_sanity_status, 'clean') ORDER BY page_number, id) AS statuses, list(coalesce(normalized_text_content, text_content) ORDER BY page_number, id) AS texts FROM {_P} GROUP BY document_id) p ON p.document_id = d.id"
+)
 def structured_documents(spark, folder):
-    """All pages, those with a score of NaN too."""
-    return reads.structured_documents(*(once(table(spark, folder, t)) for t in ("source_documents", "pages")))
+    """Each document's JSON value, read again: a score of NaN comes back as none."""
+    made = reads.structured_documents(*_tables(spark, folder))
+    page = "struct<id:bigint,quality_score:double,numeric_sanity_status:string,normalized_text_content:string>"
+    back = made.select("id", F.from_json("payload", f"struct<document:struct<title:string,source_sha256:string>,pages:array<{page}>>").alias("p"))
+    each = lambda c: F.transform("p.pages", lambda x: x[c])
+    return back.select("id", F.col("p.document.title").alias("title"), F.col("p.document.source_sha256").alias("sha256"), each("id").alias("page_ids"), F.transform(each("quality_score"), lambda x: F.round(x, 6)).alias("scores"), each("numeric_sanity_status").alias("statuses"), each("normalized_text_content").alias("texts"))
 
 
-@query(f"SELECT p.id, coalesce(d.document_title, d.source_filename, 'Untitled') AS title FROM {_P} p LEFT JOIN {_D} d ON d.id = p.document_id WHERE NOT coalesce(isnan(p.quality_score), false)")
+@query(f"SELECT p.id, coalesce(d.document_title, d.source_filename, 'Untitled') AS title FROM {_P} p LEFT JOIN {_D} d ON d.id = p.document_id")
 def pages_with_documents(spark, folder):
     documents, pages = _tables(spark, folder)
     return reads.pages_with_documents(pages, documents).select("id", "title")

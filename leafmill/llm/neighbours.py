@@ -112,7 +112,11 @@ class Index:
         rest = sample - self.centroids[_nearest(sample, self.centroids)]
         self.words = np.stack([kmeans(np.ascontiguousarray(p), WORDS) if len(p) >= WORDS else np.resize(p, (WORDS, p.shape[1])) for p in np.split(rest, PARTS, axis=1)])
         self.ends = np.append(self.starts[1:], len(self.centroids))
-        self.blocks = self.shares = np.ones(len(parts), np.int64)
+        # the grid of each region, by what the sample says of its members and visitors
+        cells, _, visits = self.route(sample)
+        scale = rows / len(sample)
+        self.blocks = np.maximum(1, np.ceil(np.bincount(self.region[cells], minlength=len(parts)) * scale / BLOCK_ROWS)).astype(np.int64)
+        self.shares = np.maximum(1, np.ceil(visits.sum(0) * scale / QUERY_ROWS)).astype(np.int64)
 
     def codes(self, v: np.ndarray, cells: np.ndarray) -> np.ndarray:
         rest = v - self.centroids[cells]
@@ -238,29 +242,6 @@ def _floats(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.float32, (offsets[-1] - offsets[0]) // 4, int(offsets[0])) if len(column) else np.zeros(0, np.float32)
 
 
-def plan(vectors: DataFrame, index: dict[str, Index], dim: int) -> None:
-    """Set the grid of each region by the number of its members and visitors; a region is a row or two, and regions are at most as many as lists."""
-    shared = vectors.sparkSession.sparkContext.broadcast(index)
-
-    def count(batches):
-        members, visits = {}, {}
-        for b in batches:
-            for m, _, units, _, first in _groups(b, dim):
-                own = shared.value[m]
-                n = len(own.blocks)
-                cells, _, visited = own.route(units[first])
-                members[m] = members.get(m, 0) + np.bincount(own.region[cells], minlength=n)
-                visits[m] = visits.get(m, 0) + visited.sum(0)
-        for m, n in members.items():
-            yield pa.RecordBatch.from_pydict({"model_version": [m] * len(n), "region": pa.array(np.arange(len(n)), pa.int32()), "members": pa.array(n, pa.int64()), "visits": pa.array(visits[m], pa.int64())})
-
-    rows = vectors.mapInArrow(count, "model_version string, region int, members long, visits long")
-    for r in rows.groupBy("model_version", "region").agg(F.sum("members").alias("members"), F.sum("visits").alias("visits")).collect():
-        own = index[r["model_version"]]
-        own.blocks, own.shares = own.blocks.copy(), own.shares.copy()
-        own.blocks[r["region"]], own.shares[r["region"]] = max(1, -(-r["members"] // BLOCK_ROWS)), max(1, -(-r["visits"] // QUERY_ROWS))
-
-
 def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
     """(id, neighbour, similarity, rank): for each usable vector the ``k`` of its model version with the greatest cosine.
 
@@ -273,7 +254,6 @@ def nearest(embeddings: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
     own = embeddings.select("id", "model_version", "vector").where(usable("vector", dim) & F.col("model_version").isNotNull() & F.col("id").isNotNull())
     own = own.select(F.col("id").cast("long").alias("id"), "model_version", F.col("vector").cast("array<float>").alias("vector"))
     index = fit(own)
-    plan(own, index, dim)
     shared = own.sparkSession.sparkContext.broadcast(index)
 
     def send(batches):

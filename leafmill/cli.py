@@ -47,6 +47,13 @@ def config_of(args: argparse.Namespace) -> Config:
     return Config(args.inbox, args.seen_file, args.db_path, args.source_manifest, args.embedding_dim, args.embedding_model_version, args.max_docs, args.timeout_seconds, args.ocr_fallback, languages)
 
 
+def status_of(state: dict) -> str:
+    """The state in one line."""
+    item = state["current_item"] or {}
+    counts = " ".join(f"{k}={state[c]}" for k, c in (("processed", "processed_count"), ("failed", "failed_count"), ("chunks", "chunk_count"), ("generated_at", "generated_at")))
+    return f'ingest_progress {counts} current_status={item.get("status") or "none"} current_item="{item.get("file_path") or ""}"'
+
+
 def main(argv: list[str] | None = None) -> int:
     """0 after a run, whether documents failed or not; 2 for bad arguments; 3 if the run itself fails."""
     try:
@@ -54,17 +61,33 @@ def main(argv: list[str] | None = None) -> int:
     except SystemExit as e:
         return OK if e.code == 0 else BAD_ARGUMENTS
     from pyspark.sql import SparkSession
+    from pyspark.sql.functions import lit
 
+    from .operators.queue import run_summary
     from .plans.ingest import run
     from .state import now_utc, read_state, write_state
 
     try:
         spark = SparkSession.builder.appName("leafmill").getOrCreate()
-        state = read_state(args.state_file)
-        row = run(spark, config_of(args)).first().asDict()
-        state |= {"generated_at": now_utc(), "processed_count": state["processed_count"] + row["processed_delta"], "failed_count": state["failed_count"] + row["failed_delta"], "chunk_count": state["chunk_count"] + row["chunks_delta"]}
-        write_state(state, args.state_file)
-        print("ingest_run " + " ".join(f"{k}={v}" for k, v in row.items() if not k.startswith("total_")) + f" total_processed={state['processed_count']} total_failed={state['failed_count']} total_chunks={state['chunk_count']}")
+        before = read_state(args.state_file)
+
+        def progress(at: dict) -> dict:
+            done = at["counts"]
+            state = before | {
+                "generated_at": now_utc(), "processed_count": before["processed_count"] + done.get("processed_delta", 0), "failed_count": before["failed_count"] + done.get("failed_delta", 0),
+                "chunk_count": before["chunk_count"] + done.get("chunks_delta", 0), "current_item": at["current_item"],
+            }
+            write_state(state, args.state_file)
+            return state
+
+        out = run(spark, config_of(args), progress=progress)
+        row = out.first().asDict()
+        last = read_state(args.state_file)
+        state = progress({"counts": row, "current_item": last["current_item"] if row["current_item"] else before["current_item"]})
+        counters = out.drop("current_status", "current_item", "failed_pages").withColumns({"total_processed": lit(state["processed_count"]), "total_failed": lit(state["failed_count"]), "total_chunks": lit(state["chunk_count"])})
+        item = state["current_item"] or {}
+        print(run_summary(counters, item.get("status"), item.get("file_path"), row["failed_pages"], args.db_path).first()["line"])
+        print(status_of(state))
         return OK
     except Exception as e:  # noqa: BLE001
         print(f"ingest failed: {e}", file=sys.stderr)

@@ -15,7 +15,7 @@ def first_copies(files: DataFrame) -> DataFrame:
 
 
 def pending(files: DataFrame, seen: DataFrame, limit: int | None = None) -> DataFrame:
-    """Files not seen yet, each content once, the first ``limit`` by name."""
+    """Files not seen yet, each content once, the first ``limit`` by name. It is decided by names and hashes; give it these alone where there are contents."""
     new = first_copies(files.join(seen.select("sha256").distinct(), "sha256", "left_anti"))
     return new if limit is None else new.orderBy("file_name", "sha256").limit(limit)
 
@@ -77,7 +77,8 @@ def ingest_status(seen_before: Column, state: Column) -> Column:
     return F.when(seen_before, "cached").otherwise(F.coalesce(state, F.lit("processed")))
 
 
-def run_summary(counters: DataFrame) -> DataFrame:
-    """One line of a run's counters, in their order."""
+def run_summary(counters: DataFrame, status: str | None = None, item: str | None = None, failed_pages: str | None = None, db_path: str | None = None) -> DataFrame:
+    """One line of a run: its counters in their order, its current item, the failed pages and the place of the store; ``none``, nothing or ``-`` where there is none."""
     parts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in counters.columns]
-    return counters.select(F.concat_ws(" ", F.lit("ingest_run"), *parts).alias("line"))
+    rest = [F.lit(f"current_status={status or 'none'}"), F.lit(f'current_item="{item or ""}"'), F.lit(f'failed_pages="{failed_pages or "-"}"'), F.lit(f'db_path="{db_path or ""}"')]
+    return counters.select(F.concat_ws(" ", F.lit("ingest_run"), *parts, *rest).alias("line"))

@@ -517,10 +517,15 @@ def run_counters(spark, folder):
 
 
 @query(
-    f"SELECT 'ingest_run processed_delta=' || count(*) FILTER (len(failed_pages) = 0) || ' failed_delta=' || count(*) FILTER (len(failed_pages) > 0) || ' chunks_delta=' || sum(chunk_count) FILTER (len(failed_pages) = 0) || ' page_failures_delta=' || sum(len(failed_pages)) AS line FROM {_RESULTS}"
+    f"SELECT 'ingest_run processed_delta=' || count(*) FILTER (len(failed_pages) = 0) || ' failed_delta=' || count(*) FILTER (len(failed_pages) > 0) || ' chunks_delta=' || sum(chunk_count) FILTER (len(failed_pages) = 0) || ' page_failures_delta=' || sum(len(failed_pages)) "
+    f"|| ' documents_written_delta=' || (SELECT count(DISTINCT document_id) FROM pages) || ' pages_written_delta=' || (SELECT count(DISTINCT id) FROM pages) || ' embeddings_written_delta=' || (SELECT count(DISTINCT id) FROM pages) "
+    f"|| ' total_processed=' || (7 + count(*) FILTER (len(failed_pages) = 0)) || ' total_failed=' || (2 + count(*) FILTER (len(failed_pages) > 0)) || ' total_chunks=' || (40 + sum(chunk_count) FILTER (len(failed_pages) = 0)) "
+    f"|| ' current_status=processed current_item=\"inbox/last.pdf\" failed_pages=\"a.pdf:1[2]\" db_path=\"store\"' AS line FROM {_RESULTS}"
 )
 def run_summary(spark, folder):
-    return queue.run_summary(run_counters(spark, folder).select("processed_delta", "failed_delta", "chunks_delta", "page_failures_delta"))
+    pages = once(table(spark, folder, "pages").select("id", F.col("document_id").alias("sha256")))
+    counters = queue.run_counters(_results(spark, folder), pages, {"processed": 7, "failed": 2, "chunks": 40})
+    return queue.run_summary(counters, "processed", "inbox/last.pdf", "a.pdf:1[2]", "store")
 
 
 @query(f"SELECT document_id, CASE WHEN document_id % 3 = 0 THEN 'cached' WHEN len(failed_pages) > 0 THEN 'failed' ELSE 'processed' END AS status FROM {_RESULTS}")
@@ -534,11 +539,11 @@ def failed_pages_summary(spark, folder):
     return _results(spark, folder).select(F.col("sha256").alias("document_id"), queue.failed_pages_entry(F.concat(F.lit("d"), "sha256"), "failed_pages").alias("entry"))
 
 
-@query(f"SELECT document_id, 'ingest_progress processed=' || page_count || ' failed=' || len(failed_pages) || ' chunks=' || chunk_count || ' generated_at=x current_status=none current_item=\"\"' AS line FROM {_RESULTS}")
+@query(f"SELECT document_id, 'ingest_progress processed=' || page_count || ' failed=' || len(failed_pages) || ' chunks=' || chunk_count || ' generated_at=x current_status=' || CASE WHEN len(failed_pages) > 0 THEN 'failed' ELSE 'none' END || ' current_item=\"' || CASE WHEN len(failed_pages) > 0 THEN 'd' || document_id || '.pdf' ELSE '' END || '\"' AS line FROM {_RESULTS}")
 def status_lines(spark, folder):
     own = once(table(spark, folder, "document_results"), "result_id")
-    none = F.lit(None).cast("string")
-    return own.select("document_id", status_line(F.col("page_count"), F.size("failed_pages"), F.col("chunk_count"), F.lit("x"), none, none).alias("line"))
+    failed = F.size("failed_pages") > 0
+    return own.select("document_id", status_line(F.col("page_count"), F.size("failed_pages"), F.col("chunk_count"), F.lit("x"), F.when(failed, "failed"), F.when(failed, F.concat(F.lit("d"), "document_id", F.lit(".pdf")))).alias("line"))
 
 
 @query(f"SELECT document_id FROM {_RESULTS} WHERE len(failed_pages) = 0")
@@ -588,8 +593,14 @@ def upsert_embeddings(spark, folder):
     return store.merge(first, own, embeddings).select("page_id", "model_version", "created_at")
 
 
+def _rules_sql() -> str:
+    names = {"documents": "source_documents", "pages": "pages", "embeddings": "page_embeddings"}
+    missing = [f"SELECT '{t}.{c} is null' AS rule, count(*) AS n FROM {names[t]} WHERE {c} IS NULL" for t, columns in store.REQUIRED.items() for c in columns]
+    return " UNION ALL ".join(missing)
+
+
 @query(
-    "SELECT 'documents.source_sha256 is null' AS rule, count(*) AS n FROM source_documents WHERE source_sha256 IS NULL UNION ALL "
+    _rules_sql() + " UNION ALL "
     "SELECT 'documents.source_sha256 repeats', count(*) FROM (SELECT 1 FROM source_documents WHERE source_sha256 IS NOT NULL GROUP BY source_sha256 HAVING count(*) > 1) UNION ALL "
     "SELECT 'pages.extraction_method unknown', count(*) FROM pages WHERE NOT coalesce(extraction_method IN ('text_layer', 'vision_ocr'), false) UNION ALL "
     "SELECT 'pages key repeats', count(*) FROM (SELECT 1 FROM pages GROUP BY document_id, page_number, ocr_version HAVING count(*) > 1) UNION ALL "

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import orientation_of
 
-#: (page number, text, rotation) of each page; an error in one page is its own.
-Reader = Callable[[bytes], Iterator[tuple[int, str | None, int, str | None]]]
+#: (page number, text, rotation, error) of each page, and perhaps its image; an error in one page is its own.
+Reader = Callable[[bytes], Iterator[tuple]]
 
 _OBJECT = re.compile(rb"(\d+)\s+\d+\s+obj\b(.*?)\bendobj\b", re.S)
 _STREAM = re.compile(rb"stream\r?\n(.*?)\r?\n?endstream", re.S)
@@ -58,8 +58,21 @@ def content_text(content: bytes) -> str:
     return "".join(out).strip()
 
 
-def read_pages(data: bytes) -> Iterator[tuple[int, str | None, int, str | None]]:
-    """Pages in the order of the page tree."""
+def _image(body: bytes, objects: dict[int, bytes]) -> bytes | None:
+    """The largest JPEG image that a page shows: of a scanned page, the scan."""
+    resources = re.search(rb"/Resources\s+(\d+)\s+\d+\s+R", body)
+    shown = re.search(rb"/XObject\s*<<(.*?)>>", body + (objects.get(int(resources[1]), b"") if resources else b""), re.S)
+    found = []
+    for ref in re.findall(rb"(\d+)\s+\d+\s+R", shown[1]) if shown else ():
+        stream = objects.get(int(ref), b"")
+        m = _STREAM.search(stream)
+        if m and b"/DCTDecode" in stream[: m.start()]:
+            found.append(m[1])
+    return max(found, key=len, default=None)
+
+
+def read_pages(data: bytes) -> Iterator[tuple[int, str | None, int, str | None, bytes | None]]:
+    """Pages in the order of the page tree, with the images of scanned ones."""
     if not data.startswith(b"%PDF"):
         raise UnreadablePDF("no PDF")
     objects = {int(m[1]): m[2] for m in _OBJECT.finditer(data)}
@@ -86,16 +99,17 @@ def read_pages(data: bytes) -> Iterator[tuple[int, str | None, int, str | None]]
                 stream = objects.get(int(ref), b"")
                 if m := _STREAM.search(stream):
                     content += (zlib.decompress(m[1]) if b"/FlateDecode" in stream[: m.start()] else m[1]) + b"\n"
-            yield number, content_text(content) or None, rotation, None
+            yield number, content_text(content) or None, rotation, None, _image(body, objects)
         except (ValueError, zlib.error, TypeError) as e:
-            yield number, None, 0, f"{type(e).__name__}: {e}"[:200]
+            yield number, None, 0, f"{type(e).__name__}: {e}"[:200], None
 
 
 def pages_of(files: DataFrame, reader: Reader = read_pages) -> DataFrame:
-    """(sha256, file_name, page_id, page_number, text_layer_text, orientation, error) of each page of each file.
+    """(sha256, file_name, page_id, page_number, text_layer_text, image, orientation, error) of each page of each file.
 
     A page id is the file name and the number, from 1. A file that can't be
-    read, or has no page, is one row with page_number 0 and the error.
+    read, or has no page, is one row with page_number 0 and the error. The
+    image is null where the reader gives none.
     """
 
     def run(frames):
@@ -103,12 +117,12 @@ def pages_of(files: DataFrame, reader: Reader = read_pages) -> DataFrame:
             rows = []
             for sha, name, content in zip(f["sha256"], f["file_name"], f["content"], strict=True):
                 try:
-                    rows += [(sha, name, f"{name}-{n}", n, text, rotation, error) for n, text, rotation, error in reader(bytes(content or b""))]
+                    rows += [(sha, name, f"{name}-{n}", n, text, rotation, error, image[0] if image else None) for n, text, rotation, error, *image in reader(bytes(content or b""))]
                 except Exception as e:  # noqa: BLE001  (a file's fault must not end the task)
-                    rows.append((sha, name, None, 0, None, 0, f"{type(e).__name__}: {e}"[:200]))
-            yield pd.DataFrame(rows, columns=["sha256", "file_name", "page_id", "page_number", "text_layer_text", "rotation", "error"])
+                    rows.append((sha, name, None, 0, None, 0, f"{type(e).__name__}: {e}"[:200], None))
+            yield pd.DataFrame(rows, columns=["sha256", "file_name", "page_id", "page_number", "text_layer_text", "rotation", "error", "image"])
 
-    pages = files.select("sha256", "file_name", "content").mapInPandas(run, "sha256 string, file_name string, page_id string, page_number int, text_layer_text string, rotation int, error string")
+    pages = files.select("sha256", "file_name", "content").mapInPandas(run, "sha256 string, file_name string, page_id string, page_number int, text_layer_text string, rotation int, error string, image binary")
     return pages.withColumn("orientation", orientation_of("rotation").cast("int")).drop("rotation")
 
 
@@ -116,7 +130,8 @@ def recognise(pages: DataFrame, recogniser: Callable[[bytes, int, int, list[str]
     """Candidates (page_id, orientation, dpi, text, confidence) of page images (page_id, image, languages) for each (orientation, dpi).
 
     Lines are joined by line feeds; the confidence is the mean of the lines', 0
-    without any. A recogniser's error gives an empty candidate.
+    without any. A recogniser's error gives an empty candidate, and so does a
+    page without an image.
     """
     signals = F.array(*[F.struct(F.lit(o).alias("orientation"), F.lit(d).alias("dpi")) for o, d in tries])
     asked = pages.select("page_id", "image", "languages", F.explode(signals).alias("s")).select("page_id", "image", "languages", "s.*")

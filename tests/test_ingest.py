@@ -1,6 +1,8 @@
 import zlib
 from pathlib import Path
 
+import numpy as np
+
 from leafmill import cli
 from leafmill.operators import reads
 from leafmill.operators.store import Store
@@ -32,7 +34,7 @@ def make_pdf(pages, rotate=0, deflate=True):
 
 def test_reader():
     got = list(pdf.read_pages(make_pdf([["one (1)", "two"], None, []], rotate=90)))
-    assert got[0] == (1, "one (1)\ntwo", 90, None) and got[1][3] and got[2][1] is None
+    assert got[0] == (1, "one (1)\ntwo", 90, None, None) and got[1][3] and got[2][1] is None
     for bad in (b"nothing", b"%PDF-1.4\n"):
         try:
             list(pdf.read_pages(bad))
@@ -61,7 +63,10 @@ def test_run_and_second_run(spark, tmp_path):
     kept = Store(spark, config.store)
     docs = {d.file_name: d for d in reads.list_documents(kept.read("documents"), kept.read("pages")).collect()}
     assert docs["a.pdf"].source_label == "Harbour" and docs["a.pdf"].page_count == 2 and docs["partial.pdf"].page_count == 1
-    assert spark.read.parquet(f"{config.store}/errors").count() == 0
+    assert {(e.stage, e.page_id) for e in spark.read.parquet(f"{config.store}/errors").collect()} == {("read", None), ("read", "partial.pdf-2")}
+    assert r.failed_pages == "partial.pdf:1[2]" and r.current_status == "failed"
+    # scratch tables are gone
+    assert not any((tmp_path / "store" / "scratch").rglob("*.parquet"))
     page = kept.read("pages").where("page_number = 2").first()
     assert (page.extraction_method, page.text_content.endswith("second")) == ("text_layer", True)
     # the whole document is seen now; the others are tried again, to the same rows
@@ -86,6 +91,72 @@ def test_recognition_only_where_it_is_needed(spark, tmp_path):
     assert {r.extraction_method for r in Store(spark, config.store).read("pages").collect()} == {"text_layer", "vision_ocr"}
 
 
+def test_the_deadline_ends_a_run_between_batches(spark, tmp_path, monkeypatch):
+    folder = inbox(tmp_path / "in")
+    (tmp_path / "in" / "z.pdf").write_bytes(make_pdf([[LINE, "last"]]))
+    config = Config(folder, f"file://{tmp_path}/seen", f"file://{tmp_path}/store", batch_documents=1, timeout_seconds=100)
+    clock = iter([0, 0, 50, 100, 150])
+    monkeypatch.setattr("leafmill.plans.ingest.time.monotonic", lambda: next(clock))
+    told = []
+    r = run(spark, config, progress=told.append).first()
+    # two batches of one document each, in the order of names
+    assert (r.processed_delta, r.failed_delta, r.pages_written_delta) == (1, 1, 2)
+    assert [t["current_item"]["status"] for t in told] == ["in_progress", "processed", "in_progress", "failed"] and told[1]["counts"]["processed_delta"] == 1
+    assert {d.source_filename for d in Store(spark, config.store).read("documents").collect()} == {"a.pdf"}
+    monkeypatch.undo()
+    assert run(spark, Config(**{**config.__dict__, "timeout_seconds": 0})).first().processed_delta == 0
+    r = run(spark, Config(**{**config.__dict__, "timeout_seconds": None})).first()
+    assert (r.processed_delta, r.failed_delta) == (1, 2) and r.failed_pages == "partial.pdf:1[2]"
+
+
+def test_plugs(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.pdf").write_bytes(make_pdf([[LINE], [LINE + " bad vector"]]))
+    written, logged = [], []
+    config = Config(
+        str(folder), f"file://{tmp_path}/seen", f"file://{tmp_path}/store", dimension=3, embedder=lambda t: np.array([1, 2, np.nan if "bad" in t else 3], np.float32),
+        writer=lambda rows, dimension: written.extend(rows.collect()), error_logger=lambda errors: logged.extend(errors.collect()),
+    )
+    r = run(spark, config, run_id=5).first()
+    # an invalid vector fails its page, and so the document
+    assert (r.processed_delta, r.failed_delta, r.page_failures_delta, r.failed_pages) == (0, 1, 1, "a.pdf:1[2]")
+    assert [w.page_number for w in written] == [1] and [(e.run_id, e.stage, e.reason_code, e.page_id) for e in logged] == [(5, "embedding", "invalid_value", "a.pdf-2")]
+
+
+def test_scans_are_recognised_with_their_languages(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    scan = make_pdf([[]]).replace(b"/Rotate 0", b"/Rotate 0 /Resources << /XObject << /Im0 90 0 R >> >>").replace(b"%%EOF", b"90 0 obj\n<< /Subtype /Image /Filter /DCTDecode /Length 7 >>\nstream\nJPEGJPE\nendstream\nendobj\n%%EOF")
+    (folder / "scan.pdf").write_bytes(scan)
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(image, orientation, dpi, languages):
+        ok = image == b"JPEGJPE" and languages == ["de", "ar"]
+        seen.add(1)
+        return ([LINE, "read"], [0.9, 0.7]) if ok and orientation == 0 else ([], [])
+
+    config = Config(str(folder), f"file://{tmp_path}/seen", f"file://{tmp_path}/store", languages=("de", "ar"), recogniser=lambda pages: pdf.recognise(pages, read, [(0, 180), (0, 320)]))
+    assert run(spark, config).first().processed_delta == 1
+    page = Store(spark, config.store).read("pages").first()
+    assert page.extraction_method == "vision_ocr" and page.confidence == 0.8 and page.text_content.endswith("read")
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from pyspark.sql import SparkSession
+
+    monkeypatch.setattr(SparkSession.Builder, "getOrCreate", lambda self: spark)
+    args = ["--inbox", inbox(tmp_path / "in"), "--seen-file", f"file://{tmp_path}/seen", "--db-path", f"file://{tmp_path}/store", "--state-file", str(tmp_path / "state.json")]
+    assert cli.main(args) == cli.OK
+    line, status = capsys.readouterr().out.strip().split("\n")[-2:]
+    assert line == (
+        "ingest_run processed_delta=1 failed_delta=2 chunks_delta=2 page_failures_delta=1 documents_written_delta=2 pages_written_delta=3 embeddings_written_delta=3 total_processed=1 total_failed=2 total_chunks=2 "
+        f'current_status=failed current_item="file:{tmp_path}/in/partial.pdf" failed_pages="partial.pdf:1[2]" db_path="file://{tmp_path}/store"'
+    )
+    assert status.startswith("ingest_progress processed=1 failed=2 chunks=2 generated_at=2")
+    assert read_state(str(tmp_path / "state.json"))["current_item"]["status"] == "failed"
+
+
 def test_recognise_joins_lines(spark):
     pages = spark.createDataFrame([("p", bytearray(b"img"), ["en"])], "page_id string, image binary, languages array<string>")
     got = pdf.recognise(pages, lambda image, o, d, languages: (["a", "b"], [0.5, 1.0]) if o == 0 else ([], []), [(0, 180), (90, 180)]).collect()

@@ -42,7 +42,7 @@ def test_a_write_gives_rows_and_a_second_keeps_ids(spark, kept):
     assert {r.n for r in store.violations(kept.read("documents"), kept.read("pages"), kept.read("embeddings"), 2).collect()} == {0}
 
 
-@pytest.mark.parametrize("bad", [request("x", 1, vector=(1.0,)), request("x", 1, method="guess")])
+@pytest.mark.parametrize("bad", [request("x", 1, vector=(1.0,)), request("x", 1, method="guess"), request("x", 1, text=None), request(None, 1), request("x", None)])
 def test_a_bad_request_writes_nothing(spark, kept, bad):
     kept.write(rows(spark, request("a", 1)), 2)
     with pytest.raises(ValueError):
@@ -50,6 +50,41 @@ def test_a_bad_request_writes_nothing(spark, kept, bad):
     assert kept.read("documents").count() == 1
 
 
+def test_a_write_touches_only_its_buckets(spark, kept):
+    kept.write(rows(spark, *[request(f"doc{i}", 1) for i in range(20)]), 2)
+    before = kept._current()[1]
+    first = {r.source_sha256: r.id for r in kept.read("documents").collect()}
+    kept.write(rows(spark, request("doc3", 1, "new", minutes=1), request("doc3", 2, minutes=1), request("other", 1, minutes=1)), 2)
+    after = kept._current()[1]
+    for name in store.TABLES:
+        changed = {b for b in after["tables"][name] if after["tables"][name][b] != before["tables"][name].get(b)}
+        assert 1 <= len(changed) <= 2
+    docs = {r.source_sha256: r.id for r in kept.read("documents").collect()}
+    assert docs == first | {"other": 21}
+    assert kept.read("pages").count() == 22 and sorted(r.id for r in kept.read("embeddings").collect()) == list(range(1, 23))
+    assert {r.n for r in store.violations(kept.read("documents"), kept.read("pages"), kept.read("embeddings"), 2).collect()} == {0}
+    # an old version is read until it is expired
+    assert kept.read("documents", 1).count() == 20 and kept.versions() == [1, 2]
+    assert kept.expire(1) == 0 and kept.versions() == [2] and kept.read("documents").count() == 21
+
+
+def test_readers_never_see_half_a_version(spark, kept, monkeypatch):
+    kept.write(rows(spark, request("a", 1)), 2)
+    # a version that is still being written
+    stream = kept._fs.create(kept._at(f"versions/{2:020d}"), False)
+    stream.write(bytearray(b'{"tables": '))
+    stream.close()
+    assert kept.version() == 1 and kept.read("documents").count() == 1
+    # the second of two writers
+    with pytest.raises(store.Conflict):
+        kept.write(rows(spark, request("b", 1)), 2)
+    assert kept.read("documents").count() == 1
+    # its writer is gone
+    monkeypatch.setattr(store, "STALE", -1)
+    kept.write(rows(spark, request("b", 1)), 2)
+    assert kept.version() == 3 and kept.read("documents").count() == 2
+
+
 def test_an_empty_store_reads_empty(spark, kept):
     assert reads.list_documents(kept.read("documents"), kept.read("pages")).count() == 0
 

@@ -2,8 +2,9 @@
 
 A persistent tree of counts: scores are coded as integers of LEVELS bits, and
 the tree holds, for each source, the number of scores below each dyadic node.
-A batch adds its node counts to the stored ones; a rank is found by descending
-from the root; within the leaf the distinct scores settle the exact cutoff.
+A batch adds its node counts to the stored ones, once, however often it comes; a
+rank is found by descending from the root. The leaf is cut into finer ones in the
+same way, and within the finer one the distinct scores settle the exact cutoff.
 """
 
 from __future__ import annotations
@@ -34,21 +35,21 @@ def leaf(score: str) -> Column:
 
 
 class CountTree:
-    """Node counts in a folder; every batch appends its own. A folder that isn't given is scratch space."""
+    """Node counts in a folder, with a folder for each batch. One that isn't given is scratch space."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or new_path(spark, "tree")
 
-    def add(self, scores: DataFrame) -> CountTree:
-        """Add a batch of (source, score). Its leaves are counted before anything is shuffled, and the upper nodes come from the leaves."""
+    def add(self, scores: DataFrame, batch: str) -> CountTree:
+        """Add a batch of (source, score); one that comes again takes the place of what it was. Its leaves are counted before anything is shuffled, and the upper nodes come from the leaves."""
         leaves = scores.where(F.col("source").isNotNull() & valid("score")).groupBy("source", leaf("score").alias("leaf")).agg(F.count("*").alias("n"))
         levels = leaves.select("source", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("level"), "leaf", "n")
         nodes = levels.groupBy("source", "level", F.expr(f"shiftright(leaf, {LEVELS} - level)").alias("node")).agg(F.sum("n").alias("n"))
-        nodes.select("source", "level", "node", "n").write.mode("append").parquet(self.path)
+        nodes.select("source", "level", "node", "n").write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
         return self
 
     def nodes(self) -> DataFrame:
-        return self.spark.read.schema(NODES).parquet(self.path).groupBy("source", "level", "node").agg(F.sum("n").alias("n"))
+        return self.spark.read.schema(NODES).option("recursiveFileLookup", "true").parquet(self.path).groupBy("source", "level", "node").agg(F.sum("n").alias("n"))
 
     def totals(self) -> DataFrame:
         return self.nodes().where("level = 0").select("source", "n")
@@ -92,15 +93,20 @@ def cutoffs(scores: DataFrame, targets: DataFrame, tree: CountTree | None = None
     already holds the counts of ``scores``; without it one is made. Targets
     are a configuration with a row a source.
     """
-    tree = tree or CountTree(scores.sparkSession).add(scores)
+    tree = tree or CountTree(scores.sparkSession).add(scores, "all")
     wanted = targets.select(source_key().alias("source"), F.least(F.greatest("keep_percent", F.lit(0)), F.lit(100)).cast("long").alias("keep_percent")).where("source IS NOT NULL AND keep_percent IS NOT NULL")
     wanted = wanted.groupBy("source").agg(F.max("keep_percent").alias("keep_percent"))
     ranks = wanted.join(tree.totals(), "source").select("source", F.expr("(n * keep_percent + 99) div 100").alias("rank")).where("rank > 0")
     at = tree.descend(ranks)
     inside = scores.where(valid("score")).select("source", "score", leaf("score").alias("leaf")).join(at, ["source", "leaf"])
-    distinct = inside.groupBy("source", "rank", "left", "score").agg(F.count("*").alias("n"))
-    above = F.sum("n").over(Window.partitionBy("source").orderBy(F.desc("score")))
-    found = distinct.withColumn("above", above).where("above >= left").groupBy("source").agg(F.max(F.struct("score", (F.col("rank") - F.col("left") + F.col("above")).alias("kept"))).alias("c"))
+    # finer leaves: at most 2 ** LEVELS of a source, as the leaves were
+    finer = F.least(F.floor((F.col("score") * (1 << LEVELS) - F.col("leaf")) * (1 << LEVELS)), F.lit((1 << LEVELS) - 1)).cast("long")
+    inside = inside.withColumn("fine", finer)
+    from_top = lambda c: F.sum("n").over(Window.partitionBy("source").orderBy(F.desc(c)))
+    parts = inside.groupBy("source", "left", "fine").agg(F.count("*").alias("n")).withColumn("above", from_top("fine")).where("above >= left")
+    part = parts.groupBy("source").agg(F.max(F.struct("fine", (F.col("above") - F.col("n")).alias("before"))).alias("p")).select("source", "p.*")
+    distinct = inside.join(part, ["source", "fine"]).groupBy("source", "rank", "left", "before", "score").agg(F.count("*").alias("n")).withColumn("above", F.col("before") + from_top("score"))
+    found = distinct.where("above >= left").groupBy("source").agg(F.max(F.struct("score", (F.col("rank") - F.col("left") + F.col("above")).alias("kept"))).alias("c"))
     return wanted.join(tree.totals(), "source", "left").join(found, "source", "left").select("source", "keep_percent", F.coalesce("n", F.lit(0)).alias("n"), F.col("c.score").alias("cutoff"), F.coalesce("c.kept", F.lit(0)).alias("kept"))
 
 

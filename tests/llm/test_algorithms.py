@@ -102,16 +102,17 @@ def test_mix(spark):
 
 def test_cutoffs_against_sorting(spark):
     rng = random.Random(2)
-    value = lambda: rng.choice([rng.random(), 0.75, 0.0, 1.0, None, float("nan"), 1.5, -0.1, 0.7500001])
+    value = lambda: rng.choice([rng.random(), 0.5 + rng.random() / 1e6, 0.5 + rng.random() / 1e9, 0.75, 0.0, 1.0, None, float("nan"), 1.5, -0.1, 0.7500001])
     rows = [(i, rng.choice(["a", "b", "c", None]), value()) for i in range(3000)]
     scores = spark.createDataFrame(rows, "page_id bigint, source string, score double")
-    targets = spark.createDataFrame([("A ", 33), ("b", 100), ("b", 5), ("c", 0), ("none", 50), (None, 10), ("a", None)], "source_label string, keep_percent int")
+    targets = spark.createDataFrame([("A ", 43), ("b", 100), ("b", 5), ("c", 0), ("none", 50), (None, 10), ("a", None)], "source_label string, keep_percent int")
     tree = cutoffs.CountTree(spark)
     half = F.col("page_id") % 2 == 0
-    tree.add(scores.where(half)).add(scores.where(~half))  # batches add up
+    # batches add up; one that comes again counts once
+    tree.add(scores.where(half).limit(10), "even").add(scores.where(~half), "odd").add(scores.where(half), "even").add(scores.where(~half), "odd")
     found = {r.source: r for r in cutoffs.cutoffs(scores, targets, tree).collect()}
     assert set(found) == {"a", "b", "c", "none"}
-    for s, percent in (("a", 33), ("b", 100), ("c", 0)):
+    for s, percent in (("a", 43), ("b", 100), ("c", 0)):
         good = sorted((x for _, y, x in rows if y == s and x is not None and 0 <= x <= 1), reverse=True)
         rank = -(-len(good) * percent // 100)
         cut = good[rank - 1] if rank else None

@@ -99,10 +99,13 @@ def normalize_text(spark, folder):
     return _documents(spark, folder).select("doc_id", text.normalize_text("text").alias("normalized"))
 
 
-@query(
-    "SELECT doc_id, (a // 10000 + CASE WHEN a % 10000 > 0 THEN 1 ELSE 0 END)::BIGINT AS chunks FROM (SELECT doc_id, list_reduce(list_prepend(0::BIGINT, list_transform(regexp_extract_all(t, '(?s).'), lambda x: strlen(x))), "
-    f"lambda a, x: CASE WHEN a % 10000 + x >= 1200 THEN (a // 10000 + 1) * 10000 ELSE a + x END) AS a FROM (SELECT doc_id, {_T} AS t FROM documents WHERE text IS NOT NULL))"
-)
+def _chunks_sql(t: str) -> str:
+    """The chunks of a trimmed text: a fold over code points, the count times 10000 plus the bytes of the open chunk."""
+    fold = f"list_reduce(list_prepend(0::BIGINT, list_transform(regexp_extract_all({t}, '(?s).'), lambda x: strlen(x))), lambda a, x: CASE WHEN a % 10000 + x >= 1200 THEN (a // 10000 + 1) * 10000 ELSE a + x END)"
+    return f"(({fold} + 9999) // 10000)"
+
+
+@query(f"SELECT doc_id, {_chunks_sql('t')}::BIGINT AS chunks FROM (SELECT doc_id, {_T} AS t FROM documents WHERE text IS NOT NULL)")
 def chunk_count(spark, folder):
     return _documents(spark, folder).select("doc_id", text.chunk_count("text").cast("bigint").alias("chunks"))
 
@@ -488,14 +491,14 @@ def manifest_join(spark, folder):
 
 
 @query(
-    "SELECT document_id, count(*) FILTER (error IS NULL) AS page_count, list_sort(coalesce(list(page_number) FILTER (error IS NOT NULL), [])) AS failed_pages, CASE WHEN count(*) FILTER (error IS NOT NULL) = 0 THEN 'processed' ELSE 'failed' END AS status, "
+    f"SELECT document_id, count(*) FILTER (error IS NULL) AS page_count, coalesce(sum({_chunks_sql('t')}) FILTER (error IS NULL), 0)::BIGINT AS chunk_count, list_sort(coalesce(list(page_number) FILTER (error IS NOT NULL), [])) AS failed_pages, CASE WHEN count(*) FILTER (error IS NOT NULL) = 0 THEN 'processed' ELSE 'failed' END AS status, "
     "CASE WHEN count(*) FILTER (error IS NOT NULL) = 0 THEN NULL WHEN count(*) FILTER (error IS NULL) = 0 THEN 'all_pages_failed failed_pages=' || count(*) ELSE 'partial_page_failures failed_pages=' || count(*) FILTER (error IS NOT NULL) END AS error_message "
-    "FROM (SELECT DISTINCT id, document_id, page_number, CASE WHEN coalesce(quality_score < 0.6, true) THEN 'low' END AS error FROM pages) GROUP BY document_id"
+    f"FROM (SELECT DISTINCT id, document_id, page_number, {trim_sql('text_content')} AS t, CASE WHEN coalesce(quality_score < 0.6, true) THEN 'low' END AS error FROM pages) GROUP BY document_id"
 )
 def document_rollup(spark, folder):
     pages = once(table(spark, folder, "pages").select("id", "document_id", "page_number", "text_content", "quality_score"))
     chosen = pages.select(F.col("document_id").alias("sha256"), "page_number", F.col("text_content").alias("text"), F.when(F.coalesce(F.col("quality_score") < 0.6, F.lit(True)), "low").alias("error"))
-    return queue.document_results(chosen).select(F.col("sha256").alias("document_id"), "page_count", "failed_pages", "status", "error_message")
+    return queue.document_results(chosen).select(F.col("sha256").alias("document_id"), "page_count", "chunk_count", "failed_pages", "status", "error_message")
 
 
 _RESULTS = "(SELECT DISTINCT result_id, document_id, page_count, chunk_count, failed_pages FROM document_results)"

@@ -43,6 +43,31 @@ def test_reader():
             pass
 
 
+def test_fonts_and_object_streams():
+    # the page tree in an object stream; a font of two bytes with its map, one of one byte with ranges; resources from the parent
+    cmap = b"/CIDInit begincmap 1 begincodespacerange <0000> <FFFF> endcodespacerange 2 beginbfchar <0003> <0020> <0010> <0645> endbfchar 1 beginbfrange <0011> <0012> <0631> endbfrange 1 beginbfrange <0020> <0021> [<062D> <06280627>] endbfrange endcmap"
+    simple = b"1 begincodespacerange <00> <FF> endcodespacerange 1 beginbfrange <41> <43> <0061> endbfrange"
+    inner = {1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [3 0 R] /Count 1 /Resources << /ProcSet [/PDF] /Font << /F1 5 0 R /F2 6 0 R >> >> >>", 3: b"<< /Type /Page /Parent 2 0 R /Contents [4 0 R] >>"}
+    bodies, head, at = b"", [], 0
+    for k, v in inner.items():
+        head += [k, len(bodies)]
+        bodies += v + b" "
+    first = " ".join(map(str, head)).encode() + b" "
+    packed = zlib.compress(first + bodies)
+    content = zlib.compress(b"BT /F1 12 Tf 1 0 0 1 50 700 Tm <0010001100200021> Tj 1 0 0 1 90 700 Tm <00100003> Tj 0 -14 Td /F2 9 Tf [(AB) -30 (C) -400 (A)] TJ 20 0 Td (B) Tj ET")
+    objects = {
+        4: b"<< /Filter /FlateDecode >>\nstream\n" + content + b"\nendstream", 5: b"<< /Type /Font /Subtype /Type0 /ToUnicode 7 0 R >>", 6: b"<< /Type /Font /Subtype /TrueType /ToUnicode 8 0 R >>",
+        7: b"<< >>\nstream\n" + cmap + b"\nendstream", 8: b"<< >>\nstream\n" + simple + b"\nendstream", 9: b"<< /Type /ObjStm /N 3 /First %d /Filter /FlateDecode >>\nstream\n" % len(first) + packed + b"\nendstream",
+    }
+    data = b"%PDF-1.5\n" + b"\n".join(b"%d 0 obj\n%s\nendobj" % x for x in objects.items())
+    assert [p[:4] for p in pdf.read_pages(data)] == [(1, "مرحبا م \nabc a b", 0, None)]
+    try:
+        list(pdf.read_pages(data + b"trailer << /Encrypt 10 0 R >>"))
+        raise AssertionError
+    except pdf.UnreadablePDF as e:
+        assert str(e) == "encrypted"
+
+
 def inbox(folder: Path):
     folder.mkdir(parents=True, exist_ok=True)
     (folder / "a.pdf").write_bytes(make_pdf([[LINE], [LINE, "second"]]))

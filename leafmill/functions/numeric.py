@@ -22,11 +22,17 @@ TRUNCATED = r"(?U)\b\d{1,3},\d{1,2}\b"
 GLYPHS = {"0": "OoDQ", "1": "IlL", "2": "Zz", "3": "EecC", "4": "Aa", "5": "Ss", "6": "Ggd", "7": "T", "8": "B", "9": "q"}
 ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
 
+def _from(starts: str, pattern: str) -> str:
+    """``pattern``, which looks for word boundaries only where it may start: these are dear in Unicode."""
+    flags, body = pattern.split(")", 1)
+    return f"{flags})(?={starts})(?:{body})"
+
+
 CODES = ("delimiter_corruption", "digit_glyph_confusion", "impossible_negative_total", "malformed_decimal")
 
 
 def malformed_decimal(c: Column | str) -> Column:
-    return _col(c).rlike(MALFORMED)
+    return _col(c).rlike(_from(r"\d", MALFORMED))
 
 
 def impossible_negative_total(c: Column | str) -> Column:
@@ -34,7 +40,7 @@ def impossible_negative_total(c: Column | str) -> Column:
 
 
 def delimiter_corruption(c: Column | str) -> Column:
-    return _col(c).rlike(DELIMITERS)
+    return _col(c).rlike(_from(r"\d", DELIMITERS))
 
 
 def _tokens(c: Column | str) -> Column:
@@ -76,7 +82,7 @@ def repair_numbers(c: Column | str) -> Column:
 
 def grouped_fidelity(c: Column | str) -> Column:
     """Well-grouped numbers less truncated ones, at least 0."""
-    return F.greatest(F.regexp_count(_col(c), F.lit(GROUPED)) - F.regexp_count(_col(c), F.lit(TRUNCATED)), F.lit(0))
+    return F.greatest(F.regexp_count(_col(c), F.lit(_from(r"[(\d]", GROUPED))) - F.regexp_count(_col(c), F.lit(_from(r"\d", TRUNCATED))), F.lit(0))
 
 
 def sanity_status(codes: Column, second_pass: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import grouped_fidelity, reason_codes, repair_numbers
 from ..functions.quality import RUNTIME, Thresholds, gate_of, quality_of, quality_score
 from ..functions.text import grapheme_count, language_sanity, trim_space
-from ..session import materialize
+from ..session import materialize, spread, stored_bytes
 
 TEXT_LAYER, RECOGNISED = "text_layer", "vision_ocr"
 LAYER_CONFIDENCE, MISSING_CONFIDENCE = 0.99, 0.01
@@ -86,7 +86,13 @@ def preferred(new: Column, old: Column) -> Column:
 
 
 def with_candidates(pages: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``pages`` with the array of each page's ``candidates``: (key, confidence, text)."""
+    """``pages`` with the array of each page's ``candidates``: (key, confidence, text).
+
+    What follows is dear for its bytes, so the pages are spread over all cores,
+    which a shuffle of so few bytes wouldn't do; the other steps keep to it.
+    """
+    size = stored_bytes(candidates)
+    pages, candidates = spread(pages, "page_id", size=size), spread(candidates, "page_id", size=size)
     key = (F.col("orientation") * 10_000 + F.col("dpi")).cast("int")
     found = candidates.groupBy("page_id").agg(F.collect_list(F.struct(key.alias("key"), F.col("confidence").cast("double").alias("confidence"), F.coalesce("text", F.lit("")).alias("text"))).alias("candidates"))
     return pages.join(found, "page_id", "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(found.schema["candidates"].dataType)))

@@ -29,11 +29,11 @@ MIN_CHARS = 40
 FLAGGED, EXTREME = 0.8, 0.52
 #: Ends of sentences, and figures, for 100 words: confirmed below both.
 MAX_SENTENCES, MAX_FIGURES = 2.0, 9.0
-#: Texts that a class of language and length, or of length alone, must have for a usual size of its own.
-MIN_CLASS = 30
+#: Texts that what is usual otherwise counts for: a class of few texts hardly moves it, one of many is its own measure.
+PRIOR_TEXTS = 30
 #: Classes of language and length up to which their usual sizes are broadcast; of more, only the hot ones are.
 BROADCAST_CLASSES = 10_000
-#: The usual size where a corpus has too few texts of a length: that of running text, by the doublings of its length over 64 characters.
+#: The usual size before any text is seen: that of running text, by the doublings of its length over 64 characters.
 USUAL, USUAL_FALL, USUAL_LEAST = 0.863, 0.085, 0.46
 
 _RULE = re.compile(r"([^\w])\1+|(.)\2{7,}", re.S)
@@ -90,23 +90,24 @@ def keyword_spam(documents: DataFrame) -> DataFrame:
     ``redundancy`` is the compressed size against the median of texts of the
     same language label and length, over all documents; the lower, the more
     redundant. Null, empty and very short texts have redundancy 1 and are no
-    spam. A null label is a class of its own, and a class of few texts takes
-    the median of its length. Repeated rows and ids come out as often as they
+    spam. A null label is a class of its own; the fewer texts a class has, the
+    more it takes after those of its length, and these after running text. Repeated rows and ids come out as often as they
     go in; other columns are ignored.
     """
     own = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.lower("lang"), F.lit("")).alias("lang"))
     measured = materialize(own.mapInPandas(_measure, "doc_id long, lang string, class int, part double, block_chars int, chars int, sentences double, figures double, links double"), "measures")
-    usual = lambda *by: measured.where("block_chars > 0").groupBy(*by).agg(F.percentile_approx("part", 0.5, 1000).alias("usual"), F.count("*").alias("n"))
-    by_length = usual("class").where(F.col("n") >= MIN_CLASS).select("class", F.col("usual").alias("by_length"))
-    key = F.concat_ws(" ", "class", "lang").alias("of")
-    by_both = materialize(usual("lang", "class").where(F.col("n") >= MIN_CLASS).select(key, F.col("usual").alias("by_both")), "usual")
+    usual = lambda *by: measured.where("block_chars > 0").groupBy(*by).agg(F.percentile_approx("part", 0.5, 1000).alias("median"), F.count("*").alias("n"))
+    weighed = lambda prior: (F.col("n") * F.col("median") + PRIOR_TEXTS * prior) / (F.col("n") + PRIOR_TEXTS)
+    other = F.greatest(F.lit(USUAL_LEAST), F.lit(USUAL) - USUAL_FALL * (F.col("class") / 2 - 6))
     # a class is half a doubling of a block's length, so there are at most 23; labels may be any
+    by_length = usual("class").select("class", weighed(other).alias("by_length"))
+    key = F.concat_ws(" ", "class", "lang").alias("of")
+    by_both = usual("lang", "class").join(F.broadcast(by_length), "class").select(key, weighed(F.col("by_length")).alias("usual"))
+    by_both = materialize(by_both, "usual")
     few = by_both.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
     own = measured.select("*", key)
     joined = own.join(F.broadcast(by_both), "of", "left") if few else join_hot(own, by_both, "of")
-    other = F.greatest(F.lit(USUAL_LEAST), F.lit(USUAL) - USUAL_FALL * (F.col("class") / 2 - 6))
-    z = F.when(F.col("block_chars") > 0, F.col("part") / F.coalesce("by_both", "by_length", other)).otherwise(1.0)
-    scored = joined.join(F.broadcast(by_length), "class", "left").withColumn("redundancy", z)
+    scored = joined.withColumn("redundancy", F.when(F.col("block_chars") > 0, F.col("part") / F.col("usual")).otherwise(1.0))
     sure = F.col("redundancy") < EXTREME
     confirmed = (F.col("redundancy") < FLAGGED) & (F.col("sentences") < MAX_SENTENCES) & (F.col("figures") < MAX_FIGURES)
     return scored.select("doc_id", "redundancy", "sentences", "figures", "links", (sure | confirmed).alias("spam"))

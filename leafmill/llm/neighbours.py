@@ -36,8 +36,8 @@ LIST_BEST, RERANK = 12, 64
 LIST_ROWS, REGION_ROWS, BLOCK_ROWS, QUERY_ROWS = 50, 65_536, 131_072, 524_288
 #: Parts of a residual, and code words for each.
 PARTS, WORDS = 16, 32
-#: Queries that are searched at a time.
-CHUNK = 8192
+#: Queries that are searched at a time, and vectors that are held against all lists.
+CHUNK, ROUTED = 8192, 2048
 #: Rows of an Arrow batch that is sent.
 SENT_ROWS = 10_000
 MEMBER, QUERY = 1, 2
@@ -127,6 +127,10 @@ class Index:
 
         It visits the nearest of the lists in the regions of the nearest ones.
         """
+        parts = [self._route(v[i : i + ROUTED]) for i in range(0, len(v), ROUTED)] or [self._route(v)]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _route(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n, p, parts = len(v), self.n_probes, len(self.starts)
         scores = v @ self.centroids.T - self.half
         tops = np.stack([scores[:, a:b].max(1) for a, b in zip(self.starts, self.ends, strict=True)], axis=1)

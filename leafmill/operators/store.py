@@ -228,8 +228,8 @@ class Store:
             table = TABLES[name]
             names = [f.name for f in table.schema if f.name in incoming.columns]
             merged = merge(self._table(name, content, touched), incoming.select(*names, "seq"), table, start=content["last_id"][name])
-            # a bucket is one file: a write has few of them, each of bounded size
-            placed = merged.join(buckets_of, by).repartition(len(touched) or 1, "_bucket")
+            # a file a bucket, and several for one that holds a very large document
+            placed = merged.join(buckets_of, by).hint("rebalance", F.col("_bucket"))
             placed.write.partitionBy("_bucket").parquet(f"{self.path}/{version}/{name}")
             for b in touched:
                 if self._fs.exists(self._at(f"{version}/{name}/_bucket={b}")):

@@ -162,6 +162,11 @@ class Index:
         codes = np.ascontiguousarray(self.codes(members[order], cells[order]).T)
         size = max(1, min(max(LIST_BEST, best), int(counts.max())))
         places, exact = np.full((len(queries), best), -1), np.full((len(queries), best), -np.inf)
+        # a product, coarse, and a place make one number, so that numbers are sorted and not places; 0 is none
+        bits = max(1, int(len(members)).bit_length())
+        kind = np.uint32 if bits <= 17 else np.uint64
+        steps, mask = float((1 << (kind(0).itemsize * 8 - bits)) - 1) / 4, kind((1 << bits) - 1)
+        shifts = np.arange(1, len(members) + 1, dtype=kind)[:, None]
         # queries of one list together: lists then meet long runs of them
         near = np.argsort((queries @ self.centroids[at].T - self.half[at]).argmax(1), kind="stable")
         for i in range(0, len(queries), CHUNK):
@@ -170,9 +175,11 @@ class Index:
             offset = q @ self.centroids[at].T
             # a hair's breadth more: products may be rounded in another way here
             asks = offset - self.half[at] >= (least[mine] - 1e-6)[:, None]
-            slot = np.cumsum(asks, axis=1) - 1
-            width = int(asks.sum(1).max())
-            rough, found = np.full((len(q), max(width, 1) * size), -np.inf, np.float32), np.full((len(q), max(width, 1) * size), -1, np.int32)
+            # codes may stand for a little more than a unit vector
+            offset += 2
+            slot = np.cumsum(asks, axis=1, dtype=np.int32) - 1
+            width = max(1, int(slot[:, -1].max()) + 1)
+            rough = np.zeros((len(q), width * size), kind)
             for c in range(len(at)):
                 who = np.flatnonzero(asks[:, c])
                 if not len(who):
@@ -182,13 +189,16 @@ class Index:
                 score = np.take(table[0], code[0], axis=0)
                 for p in range(1, PARTS):
                     score += np.take(table[p], code[p], axis=0)
-                score = np.ascontiguousarray(score.T) + offset[who, c][:, None]
-                top = np.argpartition(score, counts[c] - n, axis=1)[:, counts[c] - n :]
-                columns = slot[who, c][:, None] * size + np.arange(n)
-                rough[who[:, None], columns], found[who[:, None], columns] = np.take_along_axis(score, top, 1), starts[c] + top
+                score += offset[who, c]
+                score *= steps
+                keys = (score.astype(kind) << kind(bits)) + shifts[starts[c] : starts[c] + counts[c]]
+                keys = np.ascontiguousarray(keys.T)
+                if n < counts[c]:
+                    keys = np.partition(keys, counts[c] - n, axis=1)[:, counts[c] - n :]
+                rough[who[:, None], slot[who, c][:, None] * size + np.arange(n)] = keys
             if rough.shape[1] > max(RERANK, 3 * best):
-                keep = np.argpartition(-rough, max(RERANK, 3 * best) - 1, axis=1)[:, : max(RERANK, 3 * best)]
-                rough, found = np.take_along_axis(rough, keep, 1), np.take_along_axis(found, keep, 1)
+                rough = np.partition(rough, rough.shape[1] - max(RERANK, 3 * best), axis=1)[:, rough.shape[1] - max(RERANK, 3 * best) :]
+            found = (rough & mask).astype(np.int64) - 1
             pick = order[np.maximum(found, 0)]
             s = np.where(found < 0, -np.inf, np.einsum("qd,qnd->qn", q, members[pick]))
             if s.shape[1] > 2 * best:

@@ -17,6 +17,8 @@ _WRITTEN: list[str] = []
 _CHOSEN: list[str] = []
 #: Bytes of a partition that ``spread`` makes, about, as stored.
 PARTITION_BYTES = 32 << 20
+#: Bytes from which on the planner's number is none: it takes what it doesn't know for endless.
+UNKNOWN_BYTES = 1 << 50
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -81,8 +83,9 @@ def scratch_tables(spark: SparkSession, folder: str | None = None) -> Iterator[N
 
 
 def stored_bytes(df: DataFrame) -> int:
-    """What the planner takes a table for: for one that was read, the bytes of its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """What the planner takes a table for: for one that was read, the bytes of its files; 0 if it doesn't know."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < UNKNOWN_BYTES else 0
 
 
 def spread(df: DataFrame, *columns: str, size: int | None = None) -> DataFrame:

@@ -42,5 +42,6 @@ def test_spread_grows_with_the_bytes(spark, tmp_path):
     spark.range(1000).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")
     assert 0 < session.stored_bytes(df) < 100_000
+    assert session.stored_bytes(spark.createDataFrame([(1,)], "id int")) == 0
     n = session.spread(df, "id").rdd.getNumPartitions()
     assert session.spread(df, "id", size=session.PARTITION_BYTES * 3 * n).rdd.getNumPartitions() == 3 * n

@@ -1,6 +1,7 @@
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -258,6 +259,69 @@ def test_scans_of_another_generator(spark):
         assert len(right & got) >= 0.95 * len(right) and len(right & got) >= 0.95 * len(got), (kind, sorted(right - got)[:3], sorted(got - right)[:3])
 
 
+def test_confusions_come_from_all_words(spark):
+    """More confusions than a list of 400 would hold, each borne out by as many words as it must be, and some that it goes both ways."""
+    rng = random.Random(3)
+    letters = "bcdfghjklmnpqrstvwxz"
+    # known words differ in many places, so that a word has a single one that it may be
+    stems = iter({"".join(rng.choice("aeiou" + letters) for _ in range(12)) for _ in range(4000)})
+    pairs = rng.sample([(a, b + c) for a in "áéíóúý" for b in letters for c in letters], 450)
+    known, unknown = [], []
+
+    def bear_out(a, b, n):
+        for _ in range(n):
+            stem = next(stems)
+            known.append((stem[:6] + b + stem[6:], 9))
+            unknown.append((stem[:6] + a + stem[6:],))
+
+    for a, b in pairs:
+        bear_out(a, b, scans.SUPPORT)
+    bear_out("ñ", "ç", scans.SUPPORT - 1)
+    bear_out("ő", "ű", 7)
+    bear_out("ű", "ő", 2)
+    learnt = scans.confusions(spark.createDataFrame(unknown, "key string"), spark.createDataFrame(known, "key string, n long"))
+    assert {(a, b) for a, rights in learnt.items() for b in rights} == {*scans.MISREAD, *pairs}
+
+
+def test_confusions_need_their_part_of_all_words(spark, monkeypatch):
+    monkeypatch.setattr(scans, "SUPPORT_SHARE", 0.3)
+    known = [(f"{c}stem{c}{right}{c}ending", 2) for c, right in zip("abcdefghijklmnop", "xxxxyyyyyzzzzzzz", strict=True)]
+    unknown = [(w.replace("x", "é").replace("y", "ó").replace("z", "ú"),) for w, _ in known]
+    learnt = scans.confusions(spark.createDataFrame(unknown, "key string"), spark.createDataFrame(known, "key string, n long"))
+    assert [learnt.get(a) for a in "éóú"] == [None, ["y"], ["z"]]
+
+
+def test_line_model_is_fitted_on_all_blocks(spark):
+    own, documents, _ = scan_tables(spark)
+    # one block, and a block in each of 40 partitions
+    models = [scans.prepare(p, documents)[1] for p in (own.coalesce(1), own.repartition(40, "id"))]
+    assert models[0].clean_rate == models[1].clean_rate and (models[0].rates == models[1].rates).all()
+    assert (models[0].start == models[1].start).all() and (models[0].step == models[1].step).all()
+    assert all((a == b).all() for a, b in zip(models[0].emit, models[1].emit, strict=True))
+
+
+def test_tally_counts_line_by_line():
+    rng = np.random.default_rng(1)
+    pages, labels = [], []
+    for size in [1, 0, 5, 30, 1, 200]:
+        states = rng.integers(0, 4, size)
+        lines = np.array([[-1] * 6 if s == scans.BLANK else [rng.integers(0, n) for n in scans.FEATURES] for s in states], np.int64).reshape(-1, 6)
+        pages.append(lines)
+        labels.append(states)
+    start, step, emit = np.zeros(4, int), np.zeros((4, 4), int), [np.zeros((3, n), int) for n in scans.FEATURES]
+    for lines, states in zip(pages, labels, strict=True):
+        for i, s in enumerate(states):
+            if i:
+                step[states[i - 1], s] += 1
+            else:
+                start[s] += 1
+            for k, v in enumerate(lines[i]):
+                if s != scans.BLANK:
+                    emit[k][s, v] += 1
+    assert scans.tally(pages, labels).tolist() == [*start, *step.ravel(), *(v for e in emit for v in e.ravel())]
+    assert scans.tally(pages[:2], labels[:2]).sum() == scans.tally(pages[:1], labels[:1]).sum() and not scans.tally([], []).any()
+
+
 # ---- problem 10
 
 
